@@ -37,3 +37,6 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 #: Most rows of one side that a single search cell may hold.
 CELL_ROWS = 20_000
+
+#: A join key with fewer rows than this is never split.
+HOT_ROWS = 100_000

@@ -152,18 +152,61 @@ def knn_lists(
     nprobe: int,
     digits: int = config.SCORE_DIGITS,
     cell_rows: int = config.CELL_ROWS,
+    broadcast_bytes: int = config.BROADCAST_BYTES,
+    query_rows: int | None = None,
 ) -> DataFrame:
     """The k best items of the ``nprobe`` lists nearest each query.
 
     ``listed`` is the output of :func:`assign_lists`, or an index that stored it.
-    The metric is the one the centroids were fitted for.
+    The metric is the one the centroids were fitted for. When the counted visits
+    fit a broadcast the items are scanned where they lie; otherwise both sides are
+    shuffled into cells.
     """
+    nprobe = min(nprobe, len(centroids))
     visits = nearest_lists(queries, centroids, nprobe)
+    rows = queries.count() if query_rows is None else query_rows
+    if rows * nprobe * (4 * centroids.vectors.shape[1] + 16) <= broadcast_bytes:
+        return _scan_lists(visits, listed, len(centroids), k, centroids.metric, digits)
     return search_cells(
         visits, listed, k, centroids.metric, digits=digits, cell_rows=cell_rows
     )
 
 
+def _scan_lists(
+    visits: DataFrame, listed: DataFrame, lists: int, k: int, metric: str, digits: int
+) -> DataFrame:
+    """Scan the visited lists only, against the queries that visit each."""
+    table = visits.toArrow()  # size checked by the caller
+    queries, at = table.column("query_id").to_numpy(), table.column("list_id").to_numpy()
+    vectors = vectors_of(table.column("embedding"))
+    visited = {int(n): np.nonzero(at == n)[0] for n in np.unique(at)}
+    block = listed.sparkSession.sparkContext.broadcast(
+        {n: (queries[rows], vectors[rows]) for n, rows in visited.items()}
+    )
+    items = listed.select("item_id", "embedding", "list_id")
+    if len(visited) < lists:
+        items = items.where(F.col("list_id").isin(list(visited)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, TopK] = {}
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            ids, vectors = batch.column(0).to_numpy(), vectors_of(batch.column(1))
+            order = np.argsort(batch.column(2).to_numpy(), kind="stable")
+            at = batch.column(2).to_numpy()[order]
+            for rows in np.split(order, np.nonzero(np.diff(at))[0] + 1):
+                n = int(batch.column(2)[int(rows[0])].as_py())
+                if n in block.value:
+                    if n not in held:
+                        held[n] = TopK(*block.value[n], k, metric, digits)
+                    held[n].add(ids[rows], vectors[rows])
+        for best in held.values():
+            yield best.result()
+
+    return top_k_rows(items.mapInArrow(run, RESULT), k, metric)
+
+
 def knn_pruned(
     queries: DataFrame,
     items: DataFrame,
@@ -190,9 +233,8 @@ def knn_pruned(
     centroids = fit_centroids(items, lists, metric, item_rows=rows)
     listed = assign_lists(items, centroids).checkpoint()
     queries = queries.checkpoint()
-    first = knn_lists(
-        queries, listed, centroids, k, nprobe=1, digits=digits, cell_rows=cell_rows
-    )
+    nearest = nearest_lists(queries, centroids, 1)
+    first = search_cells(nearest, listed, k, metric, digits=digits, cell_rows=cell_rows)
     gap = 2 - 2 * F.col("score") if metric == "cosine" else F.col("score")
     bound = first.where(F.col("rank") == k).select("query_id", gap.alias("bound"))
     bound = bound.checkpoint()
