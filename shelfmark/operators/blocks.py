@@ -35,6 +35,15 @@ def vectors_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return values.to_numpy(zero_copy_only=False).astype(np.float32, copy=False).reshape(rows, dim)
 
 
+def placed(column: pa.Array, metric: str) -> np.ndarray:
+    """Vectors as inverted lists see them: of length one for ``cosine``."""
+    vectors = vectors_of(column)
+    if metric != "cosine":
+        return vectors
+    lengths = _lengths(vectors)[:, None]
+    return (vectors / np.where(lengths > 0, lengths, 1)).astype(np.float32)
+
+
 def drop_far_copies(ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Of items with the same vector keep the k smallest ids.
 
@@ -124,11 +133,17 @@ class TopK:
             r, c = row[s : s + step], col[s : s + step]
             a, b = q[r].astype(np.float64), vectors[c].astype(np.float64)
             if self.metric == "cosine":
-                cost[s : s + step] = -np.einsum("nd,nd->n", a, b) / (q_len[r] * lengths[c])
+                score = np.einsum("nd,nd->n", a, b) / (q_len[r] * lengths[c])
+                cost[s : s + step] = -self._rounded(score)
             else:
                 a -= b
-                cost[s : s + step] = np.einsum("nd,nd->n", a, a)
-        return np.round(cost, self.digits)
+                cost[s : s + step] = self._rounded(np.einsum("nd,nd->n", a, a))
+        return cost
+
+    def _rounded(self, score: np.ndarray) -> np.ndarray:
+        """Half up, with halves that fell short by rounding error counted as halves."""
+        scale = 10.0**self.digits
+        return np.floor(score * scale + (0.5 + 1e-4)) / scale
 
     def _merge(self, block: slice, row, cost, item) -> None:
         held_row, held_col = np.nonzero(np.isfinite(self.cost[block]))

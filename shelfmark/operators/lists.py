@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from shelfmark import config
 from shelfmark.functions import vectors as V
-from shelfmark.operators.blocks import TopK, vectors_of
+from shelfmark.operators.blocks import TopK, placed, vectors_of
 from shelfmark.operators.nearest import RESULT, top_k_rows
 from shelfmark.session import ensure_checkpoints
 
@@ -48,15 +48,6 @@ class Centroids:
         return len(self.vectors)
 
 
-def _placed(column: pa.Array, metric: str) -> np.ndarray:
-    """Vectors as the lists see them: of length one for ``cosine``."""
-    vectors = vectors_of(column)
-    if metric != "cosine":
-        return vectors
-    lengths = np.linalg.norm(vectors.astype(np.float64), axis=1, keepdims=True)
-    return (vectors / np.where(lengths > 0, lengths, 1)).astype(np.float32)
-
-
 def fit_centroids(
     items: DataFrame,
     lists: int,
@@ -100,7 +91,7 @@ def assign_lists(items: DataFrame, centroids: Centroids) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 rows = np.arange(batch.num_rows, dtype=np.int64)
-                best = TopK(rows, _placed(batch.column("embedding"), metric), 1, "l2", 9)
+                best = TopK(rows, placed(batch.column("embedding"), metric), 1, "l2", 9)
                 best.add(ids, centers)
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(best.item[:, 0]), pa.array(best.cost[:, 0])],
@@ -128,7 +119,7 @@ def nearest_lists(queries: DataFrame, centroids: Centroids, nprobe: int) -> Data
         for batch in batches:
             if batch.num_rows:
                 rows = np.arange(batch.num_rows, dtype=np.int64)
-                best = TopK(rows, _placed(batch.column("embedding"), metric), nprobe, "l2", 9)
+                best = TopK(rows, placed(batch.column("embedding"), metric), nprobe, "l2", 9)
                 best.add(ids, centers)
                 row, place = np.nonzero(np.isfinite(best.cost))
                 picked = batch.take(pa.array(row))
@@ -258,7 +249,7 @@ def _lists_within(queries: DataFrame, radius: DataFrame, centroids: Centroids) -
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            q = _placed(batch.column("embedding"), metric).astype(np.float64)
+            q = placed(batch.column("embedding"), metric).astype(np.float64)
             gap = np.einsum("nd,nd->n", q, q)[:, None] + squares[None, :] - 2 * (q @ centers.T)
             gap = np.sqrt(np.maximum(gap, 0))
             bound = batch.column("bound").to_numpy(zero_copy_only=False).astype(np.float64)

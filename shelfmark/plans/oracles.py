@@ -71,7 +71,7 @@ def _knn(asked: str, held: str, metric: str = "l2") -> str:
   SELECT query_id, item_id, rank, score FROM (
     SELECT query_id, item_id, score,
            row_number() OVER (PARTITION BY query_id ORDER BY {order}, item_id) AS rank
-    FROM (SELECT q.id AS query_id, i.id AS item_id, round({score}, 6) AS score
+    FROM (SELECT q.id AS query_id, i.id AS item_id, round({score} + 1e-10, 6) AS score
           FROM ({asked}) q, ({held}) i))
   WHERE rank <= 5
 """
