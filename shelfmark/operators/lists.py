@@ -72,7 +72,7 @@ def fit_centroids(
     points = usable.select(
         array_to_vector(F.transform(place, lambda x: x.cast("double"))).alias("features")
     )
-    model = KMeans(k=lists, seed=seed, maxIter=10, initSteps=2).fit(points)
+    model = KMeans(k=max(lists, 2), seed=seed, maxIter=10, initSteps=2).fit(points)
     centers = np.asarray(model.clusterCenters(), dtype=np.float32)
     if centers.nbytes > config.BROADCAST_BYTES:
         raise ValueError("too many lists: the centroids must fit a broadcast")
@@ -220,7 +220,9 @@ def knn_pruned(
         longer = V.norm(F.col("embedding")) > 0
         queries, items = queries.where(longer), items.where(longer)
     rows = items.count()
-    lists = lists or int(np.clip(np.sqrt(rows), 1, 4096))
+    if rows == 0:
+        return queries.sparkSession.createDataFrame([], RESULT)
+    lists = lists or int(np.clip(np.sqrt(rows), 2, 4096))
     centroids = fit_centroids(items, lists, metric, item_rows=rows)
     listed = assign_lists(items, centroids).checkpoint()
     queries = queries.checkpoint()
