@@ -11,8 +11,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-QUERY_TILE = 1024
-ITEM_TILE = 8192
+QUERY_TILE = 512
+ITEM_TILE = 4096
 RESCORE_VALUES = 1 << 21
 NO_ITEM = np.iinfo(np.int64).max
 METRICS = ("l2", "cosine")

@@ -27,7 +27,7 @@ from shelfmark import config
 from shelfmark.functions import vectors as V
 from shelfmark.operators.blocks import TopK, placed, vectors_of
 from shelfmark.operators.nearest import RESULT, top_k_rows
-from shelfmark.session import ensure_checkpoints
+from shelfmark.session import ensure_checkpoints, share
 
 #: Rows per list that the centroids are fitted on.
 FIT_ROWS_PER_LIST = 256
@@ -82,8 +82,7 @@ def fit_centroids(
 def assign_lists(items: DataFrame, centroids: Centroids) -> DataFrame:
     """Items with ``list_id``, the nearest list, and ``list_gap``, the squared
     distance to its centre."""
-    context = items.sparkSession.sparkContext
-    block = context.broadcast((centroids.ids, centroids.vectors))
+    block = share(items.sparkSession, (centroids.ids, centroids.vectors))
     metric = centroids.metric
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,8 +109,7 @@ def assign_lists(items: DataFrame, centroids: Centroids) -> DataFrame:
 
 def nearest_lists(queries: DataFrame, centroids: Centroids, nprobe: int) -> DataFrame:
     """(query_id, embedding, list_id) for the ``nprobe`` lists nearest a query."""
-    context = queries.sparkSession.sparkContext
-    block = context.broadcast((centroids.ids, centroids.vectors))
+    block = share(queries.sparkSession, (centroids.ids, centroids.vectors))
     metric = centroids.metric
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,8 +169,8 @@ def _scan_lists(
     queries, at = table.column("query_id").to_numpy(), table.column("list_id").to_numpy()
     vectors = vectors_of(table.column("embedding"))
     visited = {int(n): np.nonzero(at == n)[0] for n in np.unique(at)}
-    block = listed.sparkSession.sparkContext.broadcast(
-        {n: (queries[rows], vectors[rows]) for n, rows in visited.items()}
+    block = share(
+        listed.sparkSession, {n: (queries[rows], vectors[rows]) for n, rows in visited.items()}
     )
     items = listed.select("item_id", "embedding", "list_id")
     if len(visited) < lists:
@@ -241,8 +239,7 @@ def _lists_within(queries: DataFrame, radius: DataFrame, centroids: Centroids) -
     radii = np.full(len(centroids), -np.inf)
     for row in radius.collect():  # one row per list
         radii[row["list_id"]] = np.sqrt(row["radius"])
-    context = queries.sparkSession.sparkContext
-    block = context.broadcast((centroids.vectors.astype(np.float64), radii))
+    block = share(queries.sparkSession, (centroids.vectors.astype(np.float64), radii))
     metric = centroids.metric
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from shelfmark import config
 from shelfmark.operators.blocks import TopK, vectors_of
+from shelfmark.session import share
 
 RESULT = "query_id bigint, item_id bigint, rank bigint, score double"
 _EMIT_ROWS = 50_000
@@ -108,7 +109,7 @@ def ordered(results: DataFrame) -> DataFrame:
 
 
 def _search_items_block(queries, items, k, metric, digits) -> DataFrame:
-    block = queries.sparkSession.sparkContext.broadcast(collect_block(items, "item_id"))
+    block = share(queries.sparkSession, collect_block(items, "item_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,7 +123,7 @@ def _search_items_block(queries, items, k, metric, digits) -> DataFrame:
 
 
 def _search_queries_block(queries, items, k, metric, digits) -> DataFrame:
-    block = queries.sparkSession.sparkContext.broadcast(collect_block(queries, "query_id"))
+    block = share(queries.sparkSession, collect_block(queries, "query_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = TopK(*block.value, k, metric, digits)

@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfmark import config
 from shelfmark.functions.encoders import Encoder
 from shelfmark.operators.blocks import vectors_of
 from shelfmark.operators.encode import encode_distinct
-from shelfmark.operators.skew import find_hot_keys, skew_join
+from shelfmark.operators.skew import find_hot_keys, join_counted, skew_join
 
 
 def judged_pairs(items: DataFrame, labels: DataFrame, queries: DataFrame) -> DataFrame:
@@ -53,29 +54,49 @@ def incomplete_count(pairs: DataFrame, *cols: str) -> DataFrame:
 
 
 def join_vectors(
-    judged: DataFrame, query_vectors: DataFrame, item_vectors: DataFrame
+    judged: DataFrame,
+    query_vectors: DataFrame,
+    item_vectors: DataFrame,
+    dim: int,
+    *,
+    query_rows: int | None = None,
+    item_rows: int | None = None,
+    broadcast_bytes: int = config.BROADCAST_BYTES,
 ) -> DataFrame:
     """Put both vectors on each judged row, by key.
 
     ``judged`` has query_id and item_id; the vector frames are (query_id,
     embedding) and (item_id, embedding). The result adds ``query_vec`` and
-    ``item_vec``.
+    ``item_vec``. The numbers of vectors are counted unless given.
     """
-    items = item_vectors.select("item_id", F.col("embedding").alias("item_vec"))
-    queries = query_vectors.select("query_id", F.col("embedding").alias("query_vec"))
-    hot_items, hot_queries = (find_hot_keys(judged, key) for key in ("item_id", "query_id"))
-    with_items = skew_join(judged, items, "item_id", hot=hot_items)
-    return skew_join(with_items, queries, "query_id", hot=hot_queries)
+    linked = judged
+    for key, vectors, rows in (
+        ("item_id", item_vectors, item_rows),
+        ("query_id", query_vectors, query_rows),
+    ):
+        named = vectors.select(key, F.col("embedding").alias(key.replace("_id", "_vec")))
+        size = (vectors.count() if rows is None else rows) * (4 * dim + 32)
+        linked = join_counted(linked, named, key, size, budget=broadcast_bytes)
+    return linked
 
 
 def encode_pairs(
     judged: DataFrame, queries: DataFrame, items: DataFrame, encoder: Encoder
 ) -> DataFrame:
-    """Judged rows with both vectors, each query and item encoded once."""
+    """Judged rows with both vectors, each query and item encoded once.
+
+    ``judged`` needs query_id and item_id only; keep it narrow, it is read for
+    the ids and for the join.
+    """
+    counted = judged.agg(F.count_distinct("query_id"), F.count_distinct("item_id")).first()
+    query_rows, item_rows = counted
     return join_vectors(
         judged,
-        encode_distinct(queries, judged, "query_id", "query", encoder),
-        encode_distinct(items, judged, "item_id", "item_text", encoder),
+        encode_distinct(queries, judged, "query_id", "query", encoder, id_rows=query_rows),
+        encode_distinct(items, judged, "item_id", "item_text", encoder, id_rows=item_rows),
+        encoder.dim,
+        query_rows=query_rows,
+        item_rows=item_rows,
     )
 
 

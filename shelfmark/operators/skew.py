@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,17 +20,32 @@ def find_hot_keys(
     than ``min_rows``), so there are always fewer hot keys than partitions. Rows
     are counted per task before the counts are shuffled.
     """
+    total = many.count()
+    if total <= min_rows:
+        return []
     partitions = int(many.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = many.where(F.col(on).isNotNull()).select(on)
-    total = keys.agg(F.count(F.lit(1)))
-    share = F.col("rows") * F.lit(partitions) / total.scalar()
+    average = total / partitions
     found = (
-        keys.groupBy(on)
+        many.where(F.col(on).isNotNull())
+        .groupBy(on)
         .agg(F.count(F.lit(1)).alias("rows"))
-        .where((F.col("rows") > min_rows) & (share > 2))
-        .select(on, F.ceil(share).cast("int").alias("parts"))
+        .where(F.col("rows") > max(min_rows, int(2 * average)))
     )
-    return [(row[on], row["parts"]) for row in found.collect()]
+    return [(row[on], math.ceil(row["rows"] / average)) for row in found.collect()]
+
+
+def join_counted(
+    many: DataFrame, few: DataFrame, on: str, few_bytes: int, *, budget: int = config.BROADCAST_BYTES
+) -> DataFrame:
+    """Inner join to a side whose size the caller has counted: broadcast if it fits,
+    otherwise shuffled with hot keys split.
+
+    Spark takes an array for a single element when it guesses sizes, so vectors
+    are never left to be broadcast by guess.
+    """
+    if few_bytes <= budget:
+        return many.join(F.broadcast(few), on)
+    return skew_join(many, few.hint("merge"), on)
 
 
 def skew_join(

@@ -19,6 +19,7 @@ from shelfmark.functions.encoders import HashedEncoder
 from shelfmark.functions.requests import decode_requests, encode_request
 from shelfmark.operators import evaluate, lists, metric, nearest, pairs, profile, training
 from shelfmark.operators.encode import encode
+from shelfmark.operators.skew import join_counted
 from shelfmark.plans import tuning
 from shelfmark.plans.search import search
 from shelfmark.session import new_work_dir, ship
@@ -67,13 +68,12 @@ def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def judged_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def judgements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every labelled document judged against one benchmark item; the items take
-    turns."""
+    turns: (query_id, product_id, label_score)."""
     asked = benchmark_queries(spark, sf_dir)
     turn = F.pmod("product_id", asked.agg(F.count(F.lit(1))).scalar())
-    labels = text.score_labels(judged_documents(spark, sf_dir)).withColumn("query_id", turn)
-    return pairs.judged_pairs(document_items(spark, sf_dir), labels, asked)
+    return text.score_labels(judged_documents(spark, sf_dir)).withColumn("query_id", turn)
 
 
 def vectors(spark: SparkSession, sf_dir: str, id_col: str) -> DataFrame:
@@ -87,16 +87,21 @@ def judged_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = _table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("query_id"), F.col("l_partkey").alias("item_id")
     )
-    kinds = _table(spark, sf_dir, "embeddings")
-    linked = pairs.join_vectors(
-        judged, vectors(spark, sf_dir, "query_id"), vectors(spark, sf_dir, "item_id")
-    )
-    gap = F.abs(F.col("query_label") - F.col("item_label"))
-    return (
-        linked.join(kinds.select(F.col("vec_id").alias("query_id"), F.col("label").alias("query_label")), "query_id")
-        .join(kinds.select(F.col("vec_id").alias("item_id"), F.col("label").alias("item_label")), "item_id")
-        .withColumn("score", F.when(gap == 0, 1.0).when(gap == 1, 0.75).otherwise(0.0))
-        .drop("query_label", "item_label")
+    held = _table(spark, sf_dir, "embeddings")
+    rows = held.count()
+    # Labels first: the wide vectors join last.
+    for key in ("query_id", "item_id"):
+        kind = held.select(F.col("vec_id").alias(key), F.col("label").alias(f"{key}_label"))
+        judged = join_counted(judged, kind, key, 24 * rows)
+    gap = F.abs(F.col("query_id_label") - F.col("item_id_label"))
+    score = F.when(gap == 0, 1.0).when(gap == 1, 0.75).otherwise(0.0)
+    return pairs.join_vectors(
+        judged.select("query_id", "item_id", score.alias("score")),
+        vectors(spark, sf_dir, "query_id"),
+        vectors(spark, sf_dir, "item_id"),
+        VECTOR_DIM,
+        query_rows=rows,
+        item_rows=rows,
     )
 
 
@@ -228,7 +233,9 @@ def compare_models(spark, sf_dir):
 
 def text_agreement(spark, sf_dir):
     """Text to agreement: every judged query and document encoded once."""
-    judged = judged_texts(spark, sf_dir).select("query_id", "item_id", "score")
+    judged = judgements(spark, sf_dir).select(
+        "query_id", F.col("product_id").alias("item_id"), F.col("label_score").alias("score")
+    )
     linked = pairs.encode_pairs(
         judged, benchmark_queries(spark, sf_dir), document_items(spark, sf_dir), HashedEncoder(DIM)
     )
@@ -256,7 +263,10 @@ def apply_metric(spark, sf_dir):
 
 
 def training_examples(spark, sf_dir):
-    examples = training.training_examples(judged_texts(spark, sf_dir), "item_id")
+    judged = pairs.judged_pairs(
+        document_items(spark, sf_dir), judgements(spark, sf_dir), benchmark_queries(spark, sf_dir)
+    )
+    examples = training.training_examples(judged, "item_id")
     return training.shuffled_batches(examples, "item_id").select(
         "item_id",
         F.col("texts")[0].alias("query"),

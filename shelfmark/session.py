@@ -6,11 +6,17 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from typing import Any
 
+from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
 _local_root: dict[str, str] = {}
+_shared: ContextVar[list[Broadcast] | None] = ContextVar("shared", default=None)
 
 
 def work_root(spark: SparkSession) -> str:
@@ -43,6 +49,30 @@ def ensure_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(work_root(spark))
 
 
+def share(spark: SparkSession, value: Any) -> Broadcast:
+    """Broadcast a value whose size the caller has checked."""
+    block = spark.sparkContext.broadcast(value)
+    held = _shared.get()
+    if held is not None:
+        held.append(block)
+    return block
+
+
+@contextmanager
+def released() -> Iterator[None]:
+    """Free what was shared inside, once the results have been written.
+
+    A job that goes on for long needs this; others free all at the end.
+    """
+    token = _shared.set([])
+    try:
+        yield
+    finally:
+        for block in _shared.get() or []:
+            block.destroy()
+        _shared.reset(token)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application."""
     context = spark.sparkContext

@@ -45,7 +45,7 @@ def test_hot_keys_are_found_and_split(spark):
     few = spark.range(9000).select(F.col("id").alias("key"), (F.col("id") * 2).alias("twice"))
     few = few.unionAll(few.where("key = 7"))
     hot = find_hot_keys(many, "key", min_rows=100)
-    assert [key for key, _ in hot] == [7] and hot[0][1] == 3
+    assert [key for key, _ in hot] == [7] and hot[0][1] == 3  # of 8 partitions
     assert find_hot_keys(many, "key") == []
     plain = many.join(few, "key").groupBy("key", "note", "twice").count()
     split = skew_join(many, few, "key", hot=hot)
@@ -64,15 +64,18 @@ def test_rows_of_a_hot_key_are_dealt_over_its_parts(spark):
     assert "_part" in plan
 
 
-def test_vectors_meet_by_key(spark):
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
+def test_vectors_meet_by_key(spark, broadcast_bytes):
     rng = np.random.default_rng(0)
     q, p = rng.normal(size=(3, 4)), rng.normal(size=(5, 4))
     judged = spark.createDataFrame(
         [(i % 3, i % 5, float(i)) for i in range(30)], "query_id bigint, item_id bigint, score double"
     )
     linked = pairs.join_vectors(
-        judged, frame(spark, "query_id", range(3), q), frame(spark, "item_id", range(5), p)
+        judged, frame(spark, "query_id", range(3), q), frame(spark, "item_id", range(5), p), 4,
+        broadcast_bytes=broadcast_bytes,
     )
+    assert ("Broadcast" in linked._jdf.queryExecution().toString()) == (broadcast_bytes > 0)
     weights = [0.0, 1.0, 2.0, 3.0]
     rows = pairs.pair_cosine(linked, {"plain": None, "weighted": weights}).collect()
     assert len(rows) == 60
