@@ -236,14 +236,14 @@ def knn_pruned(
 
 def _lists_within(queries: DataFrame, radius: DataFrame, centroids: Centroids) -> DataFrame:
     """(query_id, embedding, list_id) for every list that may hold a result."""
-    radii = np.full(len(centroids), -np.inf)
-    for row in radius.collect():  # one row per list
-        radii[row["list_id"]] = np.sqrt(row["radius"])
-    block = share(queries.sparkSession, (centroids.vectors.astype(np.float64), radii))
+    held = sorted((row["list_id"], row["radius"]) for row in radius.collect())  # a row per list
+    ids = np.array([n for n, _ in held], dtype=np.int64)
+    radii = np.sqrt([gap for _, gap in held])
+    block = share(queries.sparkSession, (ids, centroids.vectors[ids].astype(np.float64), radii))
     metric = centroids.metric
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centers, reach = block.value
+        ids, centers, reach = block.value
         squares = np.einsum("ld,ld->l", centers, centers)
         for batch in batches:
             if batch.num_rows == 0:
@@ -254,11 +254,11 @@ def _lists_within(queries: DataFrame, radius: DataFrame, centroids: Centroids) -
             bound = batch.column("bound").to_numpy(zero_copy_only=False).astype(np.float64)
             bound = np.where(np.isnan(bound), np.inf, np.sqrt(np.maximum(bound, 0)))
             # room for rounded bounds and for rounding in the distances
-            slack = 2e-3 + 1e-6 * (gap + np.abs(reach[None, :]))
+            slack = 2e-3 + 1e-6 * (gap + reach[None, :])
             row, col = np.nonzero(gap <= bound[:, None] + reach[None, :] + slack)
             picked = batch.take(pa.array(row))
             yield pa.RecordBatch.from_arrays(
-                [picked.column("query_id"), picked.column("embedding"), pa.array(col)],
+                [picked.column("query_id"), picked.column("embedding"), pa.array(ids[col])],
                 names=["query_id", "embedding", "list_id"],
             )
 

@@ -39,6 +39,8 @@ def test_every_check_has_a_query():
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query(spark, database, name):
     df = contract.queries()[name](spark, DATA)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     rows = df.collect()
     assert rows
     sql = contract.oracle_sql().get(name)
