@@ -18,14 +18,18 @@ from shelfmark.operators.encode import encode_distinct
 from shelfmark.operators.skew import find_hot_keys, join_counted, skew_join
 
 
-def judged_pairs(items: DataFrame, labels: DataFrame, queries: DataFrame) -> DataFrame:
-    """(query_id, item_id, query, item_text, score), one row per label.
+def judged_pairs(
+    items: DataFrame, labels: DataFrame, queries: DataFrame, *keep: str
+) -> DataFrame:
+    """(keep..., query_id, item_id, query, item_text, score), one row per label.
 
     ``items`` is (item_id, item_text, ...), ``labels`` is (query_id, product_id,
-    label_score, ...), ``queries`` is (query_id, query, ...). Labels of unknown
-    items or queries drop out; repeated labels and null scores stay.
+    label_score, ...), ``queries`` is (query_id, query, ...). ``keep`` names label
+    columns to carry along, such as the label's own id. Labels of unknown items or
+    queries drop out; repeated labels and null scores stay.
     """
     judged = labels.select(
+        *keep,
         "query_id",
         F.col("product_id").alias("item_id"),
         F.col("label_score").alias("score"),
@@ -35,7 +39,7 @@ def judged_pairs(items: DataFrame, labels: DataFrame, queries: DataFrame) -> Dat
     asked = skew_join(judged, queries.select("query_id", "query"), "query_id", hot=hot_queries)
     return skew_join(
         asked, items.select("item_id", "item_text"), "item_id", hot=hot_items
-    ).select("query_id", "item_id", "query", "item_text", "score")
+    ).select(*keep, "query_id", "item_id", "query", "item_text", "score")
 
 
 def complete_pairs(pairs: DataFrame, *cols: str) -> DataFrame:

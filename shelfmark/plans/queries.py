@@ -70,10 +70,11 @@ def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def judgements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every labelled document judged against one benchmark item; the items take
-    turns: (query_id, product_id, label_score)."""
+    turns: (id, query_id, product_id, label_score)."""
     asked = benchmark_queries(spark, sf_dir)
     turn = F.pmod("product_id", asked.agg(F.count(F.lit(1))).scalar())
-    return text.score_labels(judged_documents(spark, sf_dir)).withColumn("query_id", turn)
+    scored = text.score_labels(judged_documents(spark, sf_dir))
+    return scored.withColumn("query_id", turn).withColumn("id", F.col("product_id"))
 
 
 def vectors(spark: SparkSession, sf_dir: str, id_col: str) -> DataFrame:
@@ -162,7 +163,7 @@ def file_roundtrip(spark, sf_dir):
     )
     source.write.csv(f"{root}/in", sep="\t", header=True, escape='"', emptyValue="")
     read = files.read_products(spark, f"{root}/in")
-    tables.create_database(spark, names.database)
+    tables.create_database(spark, names.database, f"{root}/database")
     tables.save_bronze(read, names.bronze(names.products))
     bronze = tables.load_bronze(spark, names.bronze(names.products))
     tables.save_table(bronze, names.table(names.products), f"{root}/tables/products")
@@ -264,10 +265,13 @@ def apply_metric(spark, sf_dir):
 
 def training_examples(spark, sf_dir):
     judged = pairs.judged_pairs(
-        document_items(spark, sf_dir), judgements(spark, sf_dir), benchmark_queries(spark, sf_dir)
+        document_items(spark, sf_dir),
+        judgements(spark, sf_dir),
+        benchmark_queries(spark, sf_dir),
+        "id",
     )
-    examples = training.training_examples(judged, "item_id")
-    return training.shuffled_batches(examples, "item_id").select(
+    examples = training.training_examples(judged, "id", "item_id")
+    return training.shuffled_batches(examples, "id").select(
         "item_id",
         F.col("texts")[0].alias("query"),
         F.col("texts")[1].alias("item_text"),
@@ -408,8 +412,8 @@ def stream_search_requests(spark, sf_dir):
         f"{root}/inbox"
     )
     running = stream_search(
-        arriving, f"{root}/index", encoder, f"{root}/out", f"{root}/checkpoint",
-        version=version, available_now=True,
+        arriving, f"{root}/index", encoder, f"{root}/out", f"{root}/rejected",
+        f"{root}/checkpoint", version=version, available_now=True,
     )
     if not running.awaitTermination(1800):
         running.stop()
