@@ -14,6 +14,8 @@ import pyarrow as pa
 QUERY_TILE = 512
 ITEM_TILE = 4096
 RESCORE_VALUES = 1 << 21
+#: Survivors per wanted result from which a query's whole tile is scored at once.
+CROWDED = 16
 NO_ITEM = np.iinfo(np.int64).max
 METRICS = ("l2", "cosine")
 
@@ -87,6 +89,8 @@ class TopK:
                 f"query vectors have {self.vectors.shape[1]} dimensions, items {vectors.shape[1]}"
             )
         ids, vectors = drop_far_copies(ids, vectors, self.k)
+        order = np.argsort(ids)  # so that among equals of a tile the first has the smallest id
+        ids, vectors = ids[order], vectors[order]
         lengths = _lengths(vectors)
         for q in range(0, len(self.ids), QUERY_TILE):
             for i in range(0, len(ids), ITEM_TILE):
@@ -100,11 +104,16 @@ class TopK:
             near = np.argpartition(low, self.k - 1, axis=1)[:, : self.k]
             high = np.take_along_axis(low, near, axis=1) + slack(near)
             limit = np.fmin(limit, high.max(axis=1))
-        row, col = np.nonzero(low <= (limit + 10.0**-self.digits)[:, None])
-        if len(row) == 0:
-            return
-        cost = self._rescore(block, vectors, lengths, row, col)
-        self._merge(block, row, cost, ids[col])
+        near = low <= (limit + 10.0**-self.digits)[:, None]
+        crowded = np.flatnonzero(near.sum(axis=1) > CROWDED * self.k)
+        near[crowded] = False
+        row, col = np.nonzero(near)
+        if len(row):
+            cost = self._rescore(block, vectors, lengths, row, col)
+            self._merge(block, row, cost, ids[col])
+        if len(crowded):
+            row, col, cost = self._best_of_crowd(block, crowded, vectors, lengths)
+            self._merge(block, row, cost, ids[col])
 
     def _screen(self, block: slice, vectors, lengths):
         """Lower bounds on the cost, and the gap to the upper bounds."""
@@ -140,6 +149,41 @@ class TopK:
                 cost[s : s + step] = self._rounded(np.einsum("nd,nd->n", a, a))
         return cost
 
+    def _best_of_crowd(self, block: slice, rows, vectors, lengths):
+        """The k best of a tile for queries that many items tie on, such as a query
+        without any word, which is as far from every item.
+
+        One product in double gives all scores. Only a score whose error could
+        carry it over a rounding edge is worked out again by the direct formula.
+        """
+        q, q_len = self.vectors[block][rows].astype(np.float64), self.lengths[block][rows]
+        score = q @ vectors.astype(np.float64).T
+        unit = 4 * (q.shape[1] + 16) * np.finfo(np.float64).eps
+        if self.metric == "cosine":
+            with np.errstate(divide="ignore", invalid="ignore"):
+                score /= q_len[:, None] * lengths[None, :]
+            error = unit
+        else:
+            size = q_len[:, None] ** 2 + lengths[None, :] ** 2
+            score = size - 2 * score
+            error = unit * size
+        scaled = score * 10.0**self.digits + (0.5 + 1e-4)
+        unsure = np.abs(scaled - np.rint(scaled)) <= error * 10.0**self.digits + 1e-6
+        cost = self._rounded(score)
+        if self.metric == "cosine":
+            cost = -cost
+        at, col = np.nonzero(unsure)
+        cost[at, col] = self._rescore(block, vectors, lengths, rows[at], col)
+        cost[np.isnan(cost)] = np.inf
+        pick = cost <= self.cost[block, -1][rows][:, None]
+        if cost.shape[1] > self.k:
+            last = np.partition(cost, self.k - 1, axis=1)[:, self.k - 1 : self.k]
+            equal = cost == last
+            room = self.k - (cost < last).sum(axis=1, keepdims=True)
+            pick &= (cost < last) | (equal & (np.cumsum(equal, axis=1) <= room))
+        at, col = np.nonzero(pick & np.isfinite(cost))
+        return rows[at], col, cost[at, col]
+
     def _rounded(self, score: np.ndarray) -> np.ndarray:
         """Half up, with halves that fell short by rounding error counted as halves."""
         scale = 10.0**self.digits

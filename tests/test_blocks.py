@@ -55,6 +55,29 @@ def test_one_far_item_does_not_blur_the_screen():
     assert search(range(5), q, range(100), x, 3, "l2") == brute_force(range(5), q, range(100), x, 3)
 
 
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_queries_that_tie_on_most_items(monkeypatch, metric):
+    monkeypatch.setattr(blocks, "ITEM_TILE", 200)
+    rng = np.random.default_rng(11)
+    x = np.eye(64)[rng.integers(0, 64, 900)] * rng.choice([1.0, 2.0], size=(900, 1))
+    x[::7] = rng.normal(size=(len(x[::7]), 64))
+    q = np.concatenate([np.zeros((2, 64)), np.ones((1, 64)), np.eye(64)[:3], rng.normal(size=(4, 64))])
+    ids = rng.permutation(900)
+    for k in (1, 5, 30):
+        got = search(range(10), q, ids, x, k, metric, [100, 650])
+        assert got == brute_force(range(10), q, ids, x, k, metric)
+
+
+def test_every_query_may_take_the_crowded_path(monkeypatch):
+    monkeypatch.setattr(blocks, "CROWDED", 0)
+    rng = np.random.default_rng(12)
+    q, x = rng.integers(-2, 3, size=(15, 3)), rng.integers(-2, 3, size=(120, 3))
+    for metric in ("l2", "cosine"):
+        for k in (1, 4, 200):
+            got = search(range(15), q, range(120), x, k, metric, [50])
+            assert got == brute_force(range(15), q, range(120), x, k, metric)
+
+
 def test_nan_items_are_never_found():
     x = [[np.nan, 0.0], [1.0, 0.0], [2.0, 0.0]]
     got = search([1], [[0.0, 0.0]], [1, 2, 3], x, 3, "l2")
