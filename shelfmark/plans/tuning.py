@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.config import Names
 from shelfmark.functions.encoders import Encoder, ReweightedEncoder
 from shelfmark.operators.evaluate import compare_models
 from shelfmark.operators.metric import apply_metric, fit_weights
-from shelfmark.operators.pairs import is_held_out
-from shelfmark.sources.index import Index, write_vectors
+from shelfmark.operators.pairs import encode_pairs, is_held_out
+from shelfmark.plans.catalog import catalog_documents
+from shelfmark.session import ensure_checkpoints
+from shelfmark.sources import tables
+from shelfmark.sources.index import Index, read_index, write_vectors
 
 BEFORE, AFTER = "original", "tuned"
 
@@ -62,3 +66,40 @@ def reindex(
         index.items.select("item_id", "item_name", "item_text", "embedding"), tuned.weights
     )
     return write_vectors(vectors, path, encoder.model_id, encoder.dim, lists=lists), encoder
+
+
+def judged_vectors(spark: SparkSession, names: Names, encoder: Encoder) -> DataFrame:
+    """(query_id, item_id, score, query_vec, item_vec) of the stored labels, written
+    to the shared folder so that later passes do not encode again."""
+    ensure_checkpoints(spark)
+    labels = tables.load_table(spark, names.table(names.labels)).select(
+        F.col("query_id").cast("bigint"),
+        F.col("product_id").cast("bigint").alias("item_id"),
+        F.col("label_score").alias("score"),
+    )
+    queries = tables.load_table(spark, names.table(names.queries)).select(
+        F.col("query_id").cast("bigint"), "query"
+    )
+    return encode_pairs(labels, queries, catalog_documents(spark, names), encoder).checkpoint()
+
+
+def tune_catalog(
+    spark: SparkSession,
+    names: Names,
+    encoder: Encoder,
+    path: str,
+    *,
+    share: float = 0.2,
+    seed: int = 42,
+) -> tuple[Tuned, Index, Encoder]:
+    """From stored labels to a tuned index: fit, judge, and write if it helped.
+
+    Returns the evidence, and the index to search with its encoder: the new
+    version, or the one there was.
+    """
+    index = read_index(spark, path, encoder)
+    tuned = tune(judged_vectors(spark, names, encoder), share=share, seed=seed)
+    if not tuned.improved:
+        return tuned, index, encoder
+    version, tuned_encoder = reindex(index, encoder, tuned, path)
+    return tuned, read_index(spark, path, tuned_encoder, version=version), tuned_encoder
