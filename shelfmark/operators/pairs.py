@@ -15,7 +15,7 @@ from shelfmark import config
 from shelfmark.functions.encoders import Encoder
 from shelfmark.operators.blocks import vectors_of
 from shelfmark.operators.encode import encode_distinct
-from shelfmark.operators.skew import find_hot_keys, join_counted, skew_join
+from shelfmark.operators.skew import counted_bytes, join_counted
 
 
 def judged_pairs(
@@ -34,12 +34,11 @@ def judged_pairs(
         F.col("product_id").alias("item_id"),
         F.col("label_score").alias("score"),
     )
-    hot_items, hot_queries = (find_hot_keys(judged, key) for key in ("item_id", "query_id"))
+    queries, items = queries.select("query_id", "query"), items.select("item_id", "item_text")
     # Queries are short, so the long item text is attached last.
-    asked = skew_join(judged, queries.select("query_id", "query"), "query_id", hot=hot_queries)
-    return skew_join(
-        asked, items.select("item_id", "item_text"), "item_id", hot=hot_items
-    ).select(*keep, "query_id", "item_id", "query", "item_text", "score")
+    asked = join_counted(judged, queries, "query_id", counted_bytes(queries))
+    linked = join_counted(asked, items, "item_id", counted_bytes(items), keys=judged)
+    return linked.select(*keep, "query_id", "item_id", "query", "item_text", "score")
 
 
 def complete_pairs(pairs: DataFrame, *cols: str) -> DataFrame:
@@ -80,7 +79,7 @@ def join_vectors(
     ):
         named = vectors.select(key, F.col("embedding").alias(key.replace("_id", "_vec")))
         size = (vectors.count() if rows is None else rows) * (4 * dim + 32)
-        linked = join_counted(linked, named, key, size, budget=broadcast_bytes)
+        linked = join_counted(linked, named, key, size, keys=judged, budget=broadcast_bytes)
     return linked
 
 

@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 from shelfmark import config
 
 
+#: Room for the plain columns of a row in a broadcast table.
+_ROW_BYTES = 64
+
+
 def find_hot_keys(
     many: DataFrame, on: str, *, min_rows: int = config.HOT_ROWS
 ) -> list[tuple[object, int]]:
@@ -34,18 +38,39 @@ def find_hot_keys(
     return [(row[on], math.ceil(row["rows"] / average)) for row in found.collect()]
 
 
+def counted_bytes(df: DataFrame, *, budget: int = config.BROADCAST_BYTES) -> int:
+    """Size of a frame of plain columns: rows, and the lengths of its strings.
+
+    Strings are only measured while the number of rows alone would fit.
+    """
+    size = df.count() * _ROW_BYTES
+    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if size <= budget and strings:
+        lengths = [F.coalesce(F.sum(F.octet_length(c).cast("bigint")), F.lit(0)) for c in strings]
+        size += sum(df.agg(*lengths).first())
+    return size
+
+
 def join_counted(
-    many: DataFrame, few: DataFrame, on: str, few_bytes: int, *, budget: int = config.BROADCAST_BYTES
+    many: DataFrame,
+    few: DataFrame,
+    on: str,
+    few_bytes: int,
+    *,
+    keys: DataFrame | None = None,
+    budget: int = config.BROADCAST_BYTES,
 ) -> DataFrame:
     """Inner join to a side whose size the caller has counted: broadcast if it fits,
     otherwise shuffled with hot keys split.
 
-    Spark takes an array for a single element when it guesses sizes, so vectors
-    are never left to be broadcast by guess.
+    ``keys`` is a cheaper frame to look for hot keys in, such as ``many`` before
+    earlier joins. Spark takes an array for a single element when it guesses
+    sizes, so vectors are never left to be broadcast by guess.
     """
     if few_bytes <= budget:
         return many.join(F.broadcast(few), on)
-    return skew_join(many, few.hint("merge"), on)
+    hot = find_hot_keys(many if keys is None else keys, on)
+    return skew_join(many, few.hint("merge"), on, hot=hot)
 
 
 def skew_join(

@@ -18,7 +18,7 @@ from shelfmark.functions import text
 from shelfmark.functions.encoders import HashedEncoder
 from shelfmark.functions.requests import decode_requests, encode_request
 from shelfmark.operators import evaluate, lists, metric, nearest, pairs, profile, training
-from shelfmark.operators.encode import encode
+from shelfmark.operators.encode import encode, spread
 from shelfmark.operators.skew import join_counted
 from shelfmark.plans import tuning
 from shelfmark.plans.search import search
@@ -355,7 +355,8 @@ def _long(frame: DataFrame, id_col: str) -> DataFrame:
 
 
 def encode_hashed(spark, sf_dir):
-    encoded = encode(document_items(spark, sf_dir), "item_text", HashedEncoder(DIM))
+    items = spread(document_items(spark, sf_dir), "item_id")
+    encoded = encode(items, "item_text", HashedEncoder(DIM))
     return _long(encoded, "item_id").where(F.col("value") != 0)
 
 

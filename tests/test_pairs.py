@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.encoders import HashedEncoder
 from shelfmark.operators import pairs
-from shelfmark.operators.skew import find_hot_keys, skew_join
+from shelfmark.operators.skew import counted_bytes, find_hot_keys, join_counted, skew_join
 
 
 @pytest.fixture(scope="module")
@@ -107,3 +107,19 @@ def test_a_query_is_held_out_as_a_whole(spark):
     assert df.groupBy("query_id").agg(F.count_distinct("out").alias("n")).where("n > 1").count() == 0
     share = df.where("out").count() / 4000
     assert 0.1 < share < 0.3
+
+
+def test_sizes_are_counted(spark):
+    df = spark.createDataFrame([(1, "four"), (2, None), (3, "ü")], "id bigint, name string")
+    assert counted_bytes(df) == 3 * 64 + 6
+    assert counted_bytes(df, budget=10) == 3 * 64  # strings not read
+    assert counted_bytes(df.where("false")) == 0
+
+
+@pytest.mark.parametrize("budget", [0, 1 << 20])
+def test_counted_join(spark, budget):
+    many = spark.range(100).select((F.col("id") % 7).alias("key"), "id")
+    few = spark.range(5).select(F.col("id").alias("key"), F.lit("x").alias("name"))
+    joined = join_counted(many, few, "key", counted_bytes(few), budget=budget)
+    assert ("Broadcast" in joined._jdf.queryExecution().toString()) == (budget > 0)
+    assert joined.count() == many.where("key < 5").count()
