@@ -70,7 +70,7 @@ def join_counted(
     if few_bytes <= budget:
         return many.join(F.broadcast(few), on)
     hot = find_hot_keys(many if keys is None else keys, on)
-    return skew_join(many, few.hint("merge"), on, hot=hot)
+    return skew_join(many, few, on, hot=hot, shuffled=True)
 
 
 def skew_join(
@@ -79,18 +79,20 @@ def skew_join(
     on: str,
     *,
     hot: list[tuple[object, int]] | None = None,
+    shuffled: bool = False,
 ) -> DataFrame:
     """Inner join of a large side that may have hot keys to one row set per key.
 
     Without hot keys this is a plain join. Otherwise the rows of a hot key are
     dealt over its parts and the matching rows of ``few`` are copied to each
-    part. Rows with a null key match nothing and are left out first.
+    part. Rows with a null key match nothing and are left out first. ``shuffled``
+    rules out that Spark broadcasts ``few`` after all.
     """
     many = many.where(F.col(on).isNotNull())
     if hot is None:
         hot = find_hot_keys(many, on)
     if not hot:
-        return many.join(few, on)
+        return many.join(few.hint("merge") if shuffled else few, on)
     schema = T.StructType([many.schema[on], T.StructField("_parts", T.IntegerType())])
     # Fewer rows than there are shuffle partitions.
     cut = F.broadcast(many.sparkSession.createDataFrame(hot, schema))
@@ -102,4 +104,6 @@ def skew_join(
     dealt = many.join(cut, on, "left").withColumn("_part", part).drop("_parts")
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))
     copied = few.join(cut, on, "left").withColumn("_part", copies).drop("_parts")
+    if shuffled:
+        copied = copied.hint("merge")
     return dealt.join(copied, [on, "_part"]).drop("_part")

@@ -60,8 +60,9 @@ def test_rows_of_a_hot_key_are_dealt_over_its_parts(spark):
     few = spark.createDataFrame([(7, "x")], "key bigint, name string")
     joined = skew_join(same, few, "key", hot=[(7, 4)])
     assert joined.count() == 4000
-    plan = joined._jdf.queryExecution().toString()
-    assert "_part" in plan
+    plan = skew_join(same, few, "key", hot=[(7, 4)], shuffled=True)._jdf.queryExecution()
+    assert plan.executedPlan().toString().count("SortMergeJoin [key#") == 1
+    assert "_part" in plan.toString()
 
 
 @pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
