@@ -61,7 +61,7 @@ def test_rows_of_a_hot_key_are_dealt_over_its_parts(spark):
     joined = skew_join(same, few, "key", hot=[(7, 4)])
     assert joined.count() == 4000
     plan = skew_join(same, few, "key", hot=[(7, 4)], shuffled=True)._jdf.queryExecution()
-    assert plan.executedPlan().toString().count("SortMergeJoin [key#") == 1
+    assert plan.executedPlan().toString().count("SortMergeJoin") == 1
     assert "_part" in plan.toString()
 
 
