@@ -8,11 +8,14 @@ number of places and ordered by (score, item id).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
 QUERY_TILE = 512
 ITEM_TILE = 4096
+BATCH_QUERIES = 2048
 RESCORE_VALUES = 1 << 21
 #: Survivors per wanted result from which a query's whole tile is scored at once.
 CROWDED = 16
@@ -46,6 +49,28 @@ def placed(column: pa.Array, metric: str) -> np.ndarray:
     return (vectors / np.where(lengths > 0, lengths, 1)).astype(np.float32)
 
 
+def same_vectors(vectors: np.ndarray) -> np.ndarray:
+    """A number per row, counted from 0 in order of first sight; equal rows share one."""
+    seen: dict[bytes, int] = {}
+    numbers = (seen.setdefault(row.tobytes(), len(seen)) for row in vectors)
+    return np.fromiter(numbers, np.int64, len(vectors))
+
+
+def best_of_block(
+    ids: np.ndarray, vectors: np.ndarray, items: tuple, k: int, metric: str, digits: int
+) -> Iterator[pa.RecordBatch]:
+    """The k best of one block of items for a batch of queries, equal queries
+    compared once."""
+    for start in range(0, len(ids), BATCH_QUERIES):
+        asked, rows = ids[start : start + BATCH_QUERIES], vectors[start : start + BATCH_QUERIES]
+        labels = same_vectors(rows)
+        first = np.unique(labels, return_index=True)[1]
+        best = TopK(asked[first], rows[first], k, metric, digits)
+        best.add(*items)
+        best.ids, best.cost, best.item = asked, best.cost[labels], best.item[labels]
+        yield best.result()
+
+
 def drop_far_copies(ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Of items with the same vector keep the k smallest ids.
 
@@ -54,13 +79,8 @@ def drop_far_copies(ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.nd
     """
     if len(ids) <= k:
         return ids, vectors
-    vectors = np.ascontiguousarray(vectors)
-    rows = vectors.view(np.dtype((np.void, vectors.dtype.itemsize * vectors.shape[1]))).ravel()
-    group = {}
-    labels = np.fromiter(
-        (group.setdefault(row.tobytes(), len(group)) for row in rows), np.int64, len(rows)
-    )
-    if len(group) == len(ids):
+    labels = same_vectors(vectors)
+    if labels.max() + 1 == len(ids):
         return ids, vectors
     order = np.lexsort((ids, labels))
     sorted_labels = labels[order]

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark import config
-from shelfmark.operators.blocks import TopK, vectors_of
+from shelfmark.operators.blocks import TopK, best_of_block, same_vectors, vectors_of
 from shelfmark.session import share
 
 RESULT = "query_id bigint, item_id bigint, rank bigint, score double"
@@ -55,7 +55,7 @@ def knn_exact(
         F.col("embedding").isNotNull()
     )
     if strategy == "auto":
-        strategy = choose_strategy(queries, items, broadcast_bytes, query_rows, item_rows)
+        strategy = choose_strategy(queries, items, broadcast_bytes, query_rows, item_rows, k)
     if strategy == "items":
         return _search_items_block(queries, items, k, metric, digits)
     if strategy == "queries":
@@ -73,13 +73,17 @@ def choose_strategy(
     broadcast_bytes: int,
     query_rows: int | None = None,
     item_rows: int | None = None,
+    k: int = config.TOP_K,
 ) -> str:
-    """Name the side to broadcast from counted sizes; the smaller if both fit."""
+    """Name the side to broadcast from counted sizes; the smaller if both fit.
+
+    A block of queries also needs room for its results so far.
+    """
     first = items.select(F.size("embedding")).first()
     if first is None:
         return "items"
     row_bytes = 4 * first[0] + 8
-    query_bytes = row_bytes * (queries.count() if query_rows is None else query_rows)
+    query_bytes = (row_bytes + 16 * k) * (queries.count() if query_rows is None else query_rows)
     item_bytes = row_bytes * (items.count() if item_rows is None else item_rows)
     if min(query_bytes, item_bytes) > broadcast_bytes:
         return "lists"
@@ -115,15 +119,17 @@ def _search_items_block(queries, items, k, metric, digits) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 ids, vectors = batch.column(0).to_numpy(), vectors_of(batch.column(1))
-                best = TopK(ids, vectors, k, metric, digits)
-                best.add(*block.value)
-                yield best.result()
+                yield from best_of_block(ids, vectors, block.value, k, metric, digits)
 
     return queries.mapInArrow(run, RESULT)
 
 
 def _search_queries_block(queries, items, k, metric, digits) -> DataFrame:
-    block = share(queries.sparkSession, collect_block(queries, "query_id"))
+    spark = queries.sparkSession
+    ids, vectors = collect_block(queries, "query_id")
+    labels = same_vectors(vectors)
+    first = np.unique(labels, return_index=True)[1]
+    block = share(spark, (ids[first], vectors[first]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = TopK(*block.value, k, metric, digits)
@@ -134,4 +140,13 @@ def _search_queries_block(queries, items, k, metric, digits) -> DataFrame:
         for start in range(0, found.num_rows, _EMIT_ROWS):
             yield found.slice(start, _EMIT_ROWS)
 
-    return top_k_rows(items.mapInArrow(run, RESULT), k, metric)
+    found = top_k_rows(items.mapInArrow(run, RESULT), k, metric)
+    if len(first) == len(ids):
+        return found
+    # Equal queries were searched once; the block they come from is small.
+    alike = spark.createDataFrame(pa.table({"first_id": ids[first][labels], "query_id": ids}))
+    return (
+        found.withColumnRenamed("query_id", "first_id")
+        .join(F.broadcast(alike), "first_id")
+        .select("query_id", "item_id", "rank", "score")
+    )

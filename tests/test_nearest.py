@@ -50,6 +50,15 @@ def test_empty_sides(data, strategy):
     assert knn_exact(queries.where("false"), items, strategy=strategy).count() == 0
 
 
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_equal_queries_each_get_their_answer(spark, data, strategy):
+    _, q, iids, x, _, items = data
+    q = q[np.arange(30) % 4]
+    queries = frame(spark, "query_id", range(30), q)
+    got = rows_of(knn_exact(queries, items, 5, strategy=strategy))
+    assert got == brute_force(range(30), q, iids, x, 5)
+
+
 def test_null_vectors_take_no_part(spark, data):
     qids, q, _, x, _, _ = data
     queries = frame(spark, "query_id", [1, 2], [q[0], None])
@@ -78,7 +87,7 @@ def test_side_to_broadcast_follows_counted_size(data):
     assert choose_strategy(items.select(F.col("item_id").alias("query_id"), "embedding"),
                            queries.select(F.col("query_id").alias("item_id"), "embedding"),
                            1 << 20) == "items"
-    assert choose_strategy(queries, items, 30 * 40 - 1) == "lists"
+    assert choose_strategy(queries, items, 30 * 40 - 1, k=5) == "lists"
     with pytest.raises(ValueError):
         knn_exact(queries, items, strategy="guess")
 
