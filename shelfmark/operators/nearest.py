@@ -46,7 +46,7 @@ def knn_exact(
     """The ``k`` nearest items of every query.
 
     ``query_rows`` and ``item_rows`` save a counting job when the caller has
-    already counted.
+    already counted. A named ``strategy`` is refused if its side does not fit.
     """
     queries = queries.select(F.col("query_id").cast("bigint"), "embedding").where(
         F.col("embedding").isNotNull()
@@ -54,37 +54,40 @@ def knn_exact(
     items = items.select(F.col("item_id").cast("bigint"), "embedding").where(
         F.col("embedding").isNotNull()
     )
-    if strategy == "auto":
-        strategy = choose_strategy(queries, items, broadcast_bytes, query_rows, item_rows, k)
+    if strategy not in ("auto", "items", "queries", "lists"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    if strategy != "lists":
+        sizes = block_sizes(queries, items, k, query_rows, item_rows)
+        if strategy == "auto":
+            strategy = choose_strategy(*sizes, broadcast_bytes)
+        elif sizes[strategy == "items"] > broadcast_bytes:
+            raise ValueError(f"the {strategy} are too large to broadcast")
     if strategy == "items":
         return _search_items_block(queries, items, k, metric, digits)
     if strategy == "queries":
         return _search_queries_block(queries, items, k, metric, digits)
-    if strategy == "lists":
-        from shelfmark.operators.lists import knn_pruned
+    from shelfmark.operators.lists import knn_pruned
 
-        return knn_pruned(queries, items, k, metric, digits=digits)
-    raise ValueError(f"unknown strategy {strategy!r}")
+    return knn_pruned(queries, items, k, metric, digits=digits)
 
 
-def choose_strategy(
+def block_sizes(
     queries: DataFrame,
     items: DataFrame,
-    broadcast_bytes: int,
+    k: int,
     query_rows: int | None = None,
     item_rows: int | None = None,
-    k: int = config.TOP_K,
-) -> str:
-    """Name the side to broadcast from counted sizes; the smaller if both fit.
-
-    A block of queries also needs room for its results so far.
-    """
+) -> tuple[int, int]:
+    """Bytes of all queries, with room for their results, and of all items."""
     first = items.select(F.size("embedding")).first()
-    if first is None:
-        return "items"
-    row_bytes = 4 * first[0] + 8
-    query_bytes = (row_bytes + 16 * k) * (queries.count() if query_rows is None else query_rows)
-    item_bytes = row_bytes * (items.count() if item_rows is None else item_rows)
+    row_bytes = 8 if first is None else 4 * first[0] + 8
+    query_rows = queries.count() if query_rows is None else query_rows
+    item_rows = items.count() if item_rows is None else item_rows
+    return (row_bytes + 16 * k) * query_rows, row_bytes * item_rows
+
+
+def choose_strategy(query_bytes: int, item_bytes: int, broadcast_bytes: int) -> str:
+    """Name the side to broadcast; the smaller if both fit, ``lists`` if none does."""
     if min(query_bytes, item_bytes) > broadcast_bytes:
         return "lists"
     return "items" if item_bytes <= query_bytes else "queries"

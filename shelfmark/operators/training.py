@@ -25,9 +25,10 @@ def shuffled_batches(
 
     The order is that of an md5 of seed and id, so it does not depend on how the
     data is partitioned. ``id_col`` names each example once, like a label's id: a
-    product or query id may repeat without bound and would crowd one slot. Positions are counted per slot of equal key prefixes and
-    shifted by the size of the slots before; only the slot sizes, a fixed number
-    of rows, are ever in one place.
+    product or query id may repeat without bound and would crowd one slot.
+    Positions are counted per slot of equal key prefixes and shifted by the size
+    of the slots before; only the slot sizes, a fixed number of rows, are ever in
+    one place.
     """
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
     keyed = examples.withColumn("_key", key).withColumn(

@@ -1,9 +1,7 @@
 import numpy as np
 import pytest
 from conftest import brute_force, frame, rows_of
-from pyspark.sql import functions as F
-
-from shelfmark.operators.nearest import choose_strategy, knn_exact, ordered
+from shelfmark.operators.nearest import block_sizes, choose_strategy, knn_exact, ordered
 
 STRATEGIES = ["auto", "items", "queries", "lists"]
 
@@ -83,13 +81,16 @@ def test_wrong_dimension_stops_the_job(spark, data):
 
 def test_side_to_broadcast_follows_counted_size(data):
     queries, items = data[4], data[5]
-    assert choose_strategy(queries, items, 1 << 20) == "queries"
-    assert choose_strategy(items.select(F.col("item_id").alias("query_id"), "embedding"),
-                           queries.select(F.col("query_id").alias("item_id"), "embedding"),
-                           1 << 20) == "items"
-    assert choose_strategy(queries, items, 30 * 40 - 1, k=5) == "lists"
-    with pytest.raises(ValueError):
+    assert block_sizes(queries, items, 5) == (30 * (40 + 80), 200 * 40)
+    assert block_sizes(queries, items, 5, 7, 9) == (7 * 120, 9 * 40)
+    assert choose_strategy(3600, 8000, 3600) == "queries"
+    assert choose_strategy(8000, 3600, 3600) == "items"
+    assert choose_strategy(8000, 3600, 3599) == "lists"
+    with pytest.raises(ValueError, match="unknown"):
         knn_exact(queries, items, strategy="guess")
+    for side in ("items", "queries"):
+        with pytest.raises(ValueError, match=f"{side} are too large"):
+            knn_exact(queries, items, strategy=side, broadcast_bytes=100)
 
 
 def test_item_search_has_no_shuffle(data):
