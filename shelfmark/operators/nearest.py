@@ -42,11 +42,12 @@ def knn_exact(
     broadcast_bytes: int = config.BROADCAST_BYTES,
     query_rows: int | None = None,
     item_rows: int | None = None,
+    dim: int | None = None,
 ) -> DataFrame:
     """The ``k`` nearest items of every query.
 
-    ``query_rows`` and ``item_rows`` save a counting job when the caller has
-    already counted. A named ``strategy`` is refused if its side does not fit.
+    ``query_rows``, ``item_rows`` and ``dim`` save a job each when the caller
+    knows them. A named ``strategy`` is refused if its side does not fit.
     """
     queries = queries.select(F.col("query_id").cast("bigint"), "embedding").where(
         F.col("embedding").isNotNull()
@@ -57,7 +58,7 @@ def knn_exact(
     if strategy not in ("auto", "items", "queries", "lists"):
         raise ValueError(f"unknown strategy {strategy!r}")
     if strategy != "lists":
-        sizes = block_sizes(queries, items, k, query_rows, item_rows)
+        sizes = block_sizes(queries, items, k, query_rows, item_rows, dim)
         if strategy == "auto":
             strategy = choose_strategy(*sizes, broadcast_bytes)
         elif sizes[strategy == "items"] > broadcast_bytes:
@@ -77,10 +78,13 @@ def block_sizes(
     k: int,
     query_rows: int | None = None,
     item_rows: int | None = None,
+    dim: int | None = None,
 ) -> tuple[int, int]:
     """Bytes of all queries, with room for their results, and of all items."""
-    first = items.select(F.size("embedding")).first()
-    row_bytes = 8 if first is None else 4 * first[0] + 8
+    if dim is None:
+        first = items.select(F.size("embedding")).first()
+        dim = 0 if first is None else first[0]
+    row_bytes = 4 * dim + 8
     query_rows = queries.count() if query_rows is None else query_rows
     item_rows = items.count() if item_rows is None else item_rows
     return (row_bytes + 16 * k) * query_rows, row_bytes * item_rows
