@@ -181,7 +181,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_OF
     (shard, uri, documents, ids, first_id).
 
     Shards are ranges of doc_id in ascending order, nulls first; equal doc_ids are
-    ordered by text. A null text has no ids but the end id, like an empty one.
+    ordered by the text's hash. A null text has no ids but the end id, like an empty one.
     """
     end = np.array([end_id], "<u4").tobytes()
 
@@ -200,8 +200,8 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_OF
                 {"shard": [shard], "uri": [uri], "documents": [len(out.ends)], "ids": [out.count]}
             )
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", "text")
-    ordered = ordered.sortWithinPartitions("doc_id", "text")
+    order = ("doc_id", F.xxhash64("text"))
+    ordered = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
     manifest = store(
         ordered.mapInArrow(write, "shard bigint, uri string, documents bigint, ids bigint"), "manifest"
     )
