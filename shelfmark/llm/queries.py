@@ -9,11 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.llm.common import documents
 from shelfmark.llm.elias_fano import op8_elias_fano
+from shelfmark.llm.license_scan import op2_license_scan
+from shelfmark.llm.line_dedup import op1_line_dedup
+from shelfmark.llm.mixing import op5_mixing
 from shelfmark.llm.packing import op4_packing
+from shelfmark.llm.quality import op6_quality
 from shelfmark.llm.sharding import op10_sharding
+from shelfmark.llm.toxicity import op3_toxicity
 
 _BY_DOCUMENTS = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_license_scan": op2_license_scan,
     "op4_packing": op4_packing,
+    "op5_mixing": op5_mixing,
+    "op6_quality": op6_quality,
     "op8_elias_fano": op8_elias_fano,
     "op10_sharding": op10_sharding,
 }
@@ -23,7 +32,13 @@ def _over_documents(apply) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: apply(spark, documents(spark, sf_dir))
 
 
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return op3_toxicity(spark, documents(spark, sf_dir), labels)
+
+
 QUERIES = {name: _over_documents(apply) for name, apply in _BY_DOCUMENTS.items()}
+QUERIES["op3_toxicity"] = _toxicity
 
 #: SQL for those that it can express on whole tables.
 ORACLES: dict[str, str] = {}
