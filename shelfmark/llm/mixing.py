@@ -154,18 +154,20 @@ def _rounded(frame: pd.DataFrame, most: int) -> pd.DataFrame:
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """Each row of ``docs`` with size, source_size, target and copies.
+    """Each row of ``docs`` as the struct ``row``, with size, source_size, target, copies.
 
     Equal rows are interchangeable: which of them is taken more often is not said.
     A source without words has target 0; its documents are taken once and count
-    nothing. No documents give no rows. Columns of ``docs`` named like a result are
-    replaced.
+    nothing. No documents give no rows. Other columns are carried, whatever their names.
     """
-    kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
+    return _mixed(docs, F.struct(*docs.columns), weights, most)
+
+
+def _mixed(docs: DataFrame, carried: Column, weights: Sequence[float], most: int) -> DataFrame:
     queue = F.concat(F.lit("="), F.col("source"))
     by_row = ("_queue", "_size", "_mark", "_doc_id")
     rows = docs.select(
-        *kept, queue.alias("_queue"), size_of(F.col("text")).alias("_size"),
+        carried.alias("row"), queue.alias("_queue"), size_of(F.col("text")).alias("_size"),
         F.xxhash64("doc_id", "text").alias("_mark"), F.col("doc_id").alias("_doc_id"),
     )
     sizes = store(rows.select(*by_row), "sizes")
@@ -209,7 +211,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST) -
     rank = F.row_number().over(Window.partitionBy("_queue", "_size", "_block").orderBy("_mark", "_doc_id"))
     copies = F.col("whole") + F.when(F.col("_ahead") + rank <= F.col("extra"), 1).otherwise(0)
     return dealt.select(
-        *kept, F.col("_size").alias("size"), F.col("source_size").cast("bigint").alias("source_size"),
+        "row", F.col("_size").alias("size"), F.col("source_size").cast("bigint").alias("source_size"),
         "target", copies.cast("bigint").alias("copies"),
     )
 
@@ -217,13 +219,12 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST) -
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: each document as many times as it is taken, columns unchanged."""
     copies = F.explode(F.sequence(F.lit(1), F.col("copies")))
-    dealt = mix(docs).where("copies > 0").select(*docs.columns, copies.alias("_copy"))
-    return dealt.drop("_copy")
+    return mix(docs).where("copies > 0").select("row", copies.alias("copy")).select("row.*")
 
 
 def op5_mixing(spark, docs: DataFrame) -> DataFrame:
-    narrow = docs.select("doc_id", "text", "source")
-    return mix(narrow).select(
-        "doc_id", "size", "source_size", "target",
-        (F.col("size") * F.col("copies")).alias("taken"), "copies",
+    # The texts are measured where they are read and carried no further.
+    mixed = _mixed(docs, F.struct("doc_id"), WEIGHTS, MOST)
+    return mixed.select(
+        "row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies"
     )

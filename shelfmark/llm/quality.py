@@ -128,12 +128,15 @@ def measures(text: Column) -> dict[str, Column]:
 
 
 def judge(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """``docs`` with its counts, ``base_failed``, the ``failed_rules`` and ``kept``.
+    """Each row of ``docs`` as the struct ``row``, its counts and measures,
+    ``base_failed``, the ``failed_rules`` and ``kept``.
 
-    Columns of ``docs`` that have the name of a count are replaced. A document
-    without words fails the base rule (fewer than MIN_WORDS words).
+    A document without words, a null text included, fails the base rule (fewer than
+    MIN_WORDS words). Rows are judged one by one; other columns are carried, whatever
+    their names.
     """
-    counted = docs.withColumns({f"_{name}": c for name, c in measures(F.col("text")).items()})
+    row = F.struct(*docs.columns).alias("row")
+    counted = docs.select(row, *(c.alias(f"_{name}") for name, c in measures(F.col("text")).items()))
     words, lines = F.col("_words"), F.col("_lines")
     stops = F.filter(words, lambda w: F.lower(w).isin(*STOP_WORDS))
     counted = counted.withColumns(
@@ -166,7 +169,7 @@ def judge(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 
 
 def op6_quality(spark, docs: DataFrame) -> DataFrame:
-    return judge(docs).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+    return judge(docs.select("doc_id", "text")).select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "failed_rules",
     )

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.llm.common import documents
 from shelfmark.llm.elias_fano import op8_elias_fano
+from shelfmark.llm.imatch import op9_imatch
 from shelfmark.llm.license_scan import op2_license_scan
 from shelfmark.llm.line_dedup import op1_line_dedup
 from shelfmark.llm.mixing import op5_mixing
+from shelfmark.llm.near_dedup import op7_lsh_forest
 from shelfmark.llm.packing import op4_packing
 from shelfmark.llm.quality import op6_quality
 from shelfmark.llm.sharding import op10_sharding
@@ -23,7 +25,9 @@ _BY_DOCUMENTS = {
     "op4_packing": op4_packing,
     "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
+    "op7_lsh_forest": op7_lsh_forest,
     "op8_elias_fano": op8_elias_fano,
+    "op9_imatch": op9_imatch,
     "op10_sharding": op10_sharding,
 }
 
