@@ -14,11 +14,14 @@ from shelfmark.llm.license_scan import op2_license_scan
 from shelfmark.llm.line_dedup import op1_line_dedup
 from shelfmark.llm.mixing import op5_mixing
 from shelfmark.llm.near_dedup import op7_lsh_forest
+from shelfmark.llm.oracles import ORACLES
 from shelfmark.llm.packing import op4_packing
 from shelfmark.llm.quality import op6_quality
 from shelfmark.llm.sharding import op10_sharding
 from shelfmark.llm.toxicity import op3_toxicity
 
+__all__ = ["ORACLES", "QUERIES"]
+
 _BY_DOCUMENTS = {
     "op1_line_dedup": op1_line_dedup,
     "op2_license_scan": op2_license_scan,
@@ -43,6 +46,3 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {name: _over_documents(apply) for name, apply in _BY_DOCUMENTS.items()}
 QUERIES["op3_toxicity"] = _toxicity
-
-#: SQL for those that it can express on whole tables.
-ORACLES: dict[str, str] = {}
