@@ -19,10 +19,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfmark.llm.common import store
+
 #: Words of a gram.
 GRAM = 2
-_NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The template that every document's end stands for.
+END = -1
 
 #: The base phrases and their labels.
 PHRASES = {
@@ -61,7 +64,8 @@ class Settings:
 
 
 def _templates(spark: SparkSession, phrases: dict[str, str], notices: dict[str, str]) -> DataFrame:
-    rows = []
+    """One row for each gram of each template, and one that marks a document's end."""
+    rows = [(END, "", False, 0, 0, None, None)]
     listed = [(p, label, True) for p, label in phrases.items()]
     listed += [(p, label, False) for p, label in notices.items()]
     for number, (phrase, label, base) in enumerate(listed):
@@ -69,50 +73,64 @@ def _templates(spark: SparkSession, phrases: dict[str, str], notices: dict[str,
         if len(words) < GRAM or not re.fullmatch(r"[a-z0-9 ]+", phrase):
             raise ValueError(f"not a phrase of {GRAM} or more plain words: {phrase!r}")
         grams = len(words) - GRAM + 1
-        rows += [
-            (number, label, base, grams, at, " ".join(words[at : at + GRAM])) for at in range(grams)
-        ]
+        rows += [(number, label, base, grams, at, words[at], words[at + 1]) for at in range(grams)]
     frame = spark.createDataFrame(
-        rows, "template int, label string, base boolean, grams int, at int, gram string"
+        rows, "template int, label string, base boolean, grams int, at int, one string, two string"
     )
-    return frame.withColumn("hash", F.xxhash64("gram"))
+    return frame.withColumn("gram", _gram(F.col("one"), F.col("two"))).drop("one", "two")
 
 
-def words_of(text: Column) -> Column:
-    """Words of a text, in their own case. A null text has none."""
-    return F.array_remove(F.split(F.coalesce(text, F.lit("")), _NOT_WORD), "")
+def _gram(one: Column, two: Column) -> Column:
+    """64 bits: with fewer than a hundred template grams, a false hit is not to be
+    expected in 10 ** 16 words. The end mark hashes no words."""
+    return F.xxhash64(F.lit("gram"), one, two)
 
 
-def _lowered(text: Column) -> Column:
-    return F.translate(text, _UPPER, _UPPER.lower())
+def words_of(text: Column) -> Column:
+    """Words of a text, A-Z in lower case. A null text has none."""
+    text = F.coalesce(text, F.lit(""))
+    # ``lower`` also turns these two letters into ASCII ones; any other letter will do.
+    odd = text.contains("\u212a") | text.contains("\u0130")
+    plain = F.when(odd, F.translate(text, "\u212a\u0130", "\u00df\u00df")).otherwise(text)
+    return F.array_remove(F.split(F.lower(plain), _NOT_WORD), "")
 
 
-def scan_spans(
-    keyed: DataFrame, settings: Settings = Settings(),
-    phrases: dict[str, str] = PHRASES, notices: dict[str, str] = NOTICES,
+def diagonal_votes(
+    docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[str, str] = NOTICES
 ) -> DataFrame:
-    """Verified spans of ``keyed`` (key, words): key, template, label, base, start,
-    last (word places), coverage."""
-    templates = F.broadcast(_templates(keyed.sparkSession, phrases, notices))
-
-    def gram(words: Column) -> Column:
-        at = F.sequence(F.lit(0), F.size(words) - GRAM)
-        return F.transform(at, lambda i: F.concat(F.get(words, i), F.lit(" "), F.get(words, i + 1)))
-
-    # ``lower`` may change letters beyond A-Z as well, so hits are checked letter by letter.
-    grams = F.when(F.size("words") >= GRAM, F.transform(F.array("words"), gram)[0])
-    rolled = keyed.select("key", F.posexplode(grams).alias("place", "said"))
-    rolled = rolled.withColumn("hash", F.xxhash64(F.lower("said")))
-    hits = rolled.join(templates, "hash").where(_lowered(F.col("said")) == F.col("gram"))
-    hits = hits.withColumn("diagonal", F.col("place") - F.col("at"))
-    votes = hits.groupBy("key", "template", "label", "base", "grams", "diagonal").agg(
-        F.collect_set("at").alias("found"), F.min("place").alias("start"), F.max("place").alias("end")
+    """Votes by document, template and diagonal: key, template, label, base, grams,
+    diagonal, found (places in the template), start, end, rows.
+
+    Equal rows vote together: ``found`` is a set. Each document has a vote for the
+    template END, whose start is its number of words and whose rows are its equal rows.
+    """
+    templates = F.broadcast(_templates(docs.sparkSession, phrases, notices))
+    key = F.struct(
+        "doc_id", F.xxhash64(F.lit(1), "text").alias("a"), F.xxhash64(F.lit(2), "text").alias("b")
     )
+
+    def grams(words: Column) -> Column:
+        # The last word has no next one and makes no gram of two words.
+        rolled = F.zip_with(words, F.slice(words, GRAM, F.greatest(F.size(words), F.lit(1))), _gram)
+        return F.array_append(rolled, _gram(F.lit(None), F.lit(None)))
+
+    rolled = F.transform(F.array(words_of(F.col("text"))), grams)[0]
+    rolled = docs.select(key.alias("key"), F.posexplode(rolled).alias("place", "gram"))
+    hits = rolled.join(templates, "gram").withColumn("diagonal", F.col("place") - F.col("at"))
+    return hits.groupBy("key", "template", "label", "base", "grams", "diagonal").agg(
+        F.collect_set("at").alias("found"), F.min("place").alias("start"), F.max("place").alias("end"),
+        F.count(F.lit(1)).alias("rows"),
+    )
+
+
+def verified_spans(votes: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Spans of neighbouring diagonals that hold enough of their template: key,
+    template, label, base, start, last (word places), coverage."""
     whole = votes.where(F.col("base") & (F.size("found") == F.col("grams")))
     by = Window.partitionBy("key", "template").orderBy("diagonal")
     apart = F.col("diagonal") - F.lag("diagonal").over(by) > settings.drift
     merged = (
-        votes.where(~F.col("base"))
+        votes.where(~F.col("base") & (F.col("template") != END))
         .withColumn("span", F.sum(F.when(apart, 1).otherwise(0)).over(by))
         .groupBy("key", "template", "label", "base", "grams", "span")
         .agg(
@@ -139,24 +157,21 @@ def scan_licenses(docs: DataFrame, settings: Settings = Settings()) -> DataFrame
     and score 0. The score is the best coverage of any span. Other columns are left
     out, whatever their names.
     """
-    key = F.struct("doc_id", F.xxhash64(F.lit(1), "text").alias("h"), F.xxhash64(F.lit(2), "text").alias("g"))
-    keyed = docs.select(key.alias("key"), words_of(F.col("text")).alias("words"))
-    # Equal rows vote together; a set of places counts them once.
-    spans = scan_spans(keyed, settings)
+    votes = store(diagonal_votes(docs), "votes")
     base = F.when(F.col("base"), F.col("start"))
     labels = lambda c: F.array_join(F.sort_array(F.collect_set(c)), ",")
-    found = spans.groupBy("key").agg(
+    found = verified_spans(votes, settings).groupBy("key").agg(
         F.count(base).alias("n_base"), F.min(base).alias("first_word"), F.max(base).alias("last_word"),
         labels(F.when(F.col("base"), F.col("label"))).alias("base_labels"),
         labels("label").alias("labels"),
         F.max("coverage").alias("score"),
         F.count(F.when(~F.col("base"), 1)).alias("notices"),
     )
-    counted = keyed.select("key", F.size("words").cast("bigint").alias("n_words"))
+    counted = votes.where(F.col("template") == END).select("key", F.col("start").alias("n_words"), "rows")
     # A struct key joins null doc_ids too.
-    joined = counted.join(found, counted["key"].eqNullSafe(found["key"]), "left").select(counted["key"], "n_words", *found.columns[1:])
-    return joined.select(
-        "key.doc_id", "n_words",
+    joined = counted.join(found, "key", "left")
+    return joined.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows")))).select(
+        "key.doc_id", F.col("n_words").cast("bigint").alias("n_words"),
         F.coalesce("n_base", F.lit(0)).cast("bigint").alias("n_base"),
         F.col("first_word").cast("bigint").alias("first_word"),
         F.col("last_word").cast("bigint").alias("last_word"),
