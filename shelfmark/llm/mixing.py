@@ -79,7 +79,7 @@ def balance(cells: DataFrame, targets: DataFrame, most: int = MOST) -> DataFrame
     counts = cells.groupBy("queue").agg(F.sum("n").alias("documents"))
     state = targets.join(counts, targets["queue"].eqNullSafe(counts["queue"])).select(
         targets["queue"], "target", "source_size",
-        (F.col("source_size") / F.col("documents")).alias("mean"),
+        F.when(F.col("source_size") == 0, 1.0).otherwise(F.col("source_size") / F.col("documents")).alias("mean"),
     )
     state = store(
         state.withColumns(

@@ -22,7 +22,9 @@ parsed AS (
     regexp_extract_all(regexp_replace(words, '[^ \t-\r]*[0-9][^ \t-\r]*', '{line_dedup.WILD}', 'g'),
                        '{_SPACED}') AS tokens
   FROM line),
-long AS (SELECT *, len(tokens) AS n, tokens[1:{s.depth}] AS lead FROM parsed WHERE len(tokens) >= {s.min_tokens}),
+long AS (SELECT *, len(tokens) AS n, tokens[1:{s.depth}] AS lead FROM parsed
+  WHERE len(tokens) >= {s.min_tokens}
+    AND len(list_filter(tokens, lambda t: t <> '{line_dedup.WILD}')) >= {s.constant} * len(tokens)),
 shapes AS (SELECT n, lead, tokens, count(*) AS c, min({{'d': doc_id, 'l': line}}) AS place FROM long GROUP BY ALL),
 models AS (
   SELECT n, lead, tokens AS model FROM shapes
