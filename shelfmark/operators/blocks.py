@@ -49,11 +49,30 @@ def placed(column: pa.Array, metric: str) -> np.ndarray:
     return (vectors / np.where(lengths > 0, lengths, 1)).astype(np.float32)
 
 
+#: Odd multipliers of the row fingerprints; more are drawn for longer rows.
+_MIX = np.random.default_rng(5).integers(0, 1 << 63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 def same_vectors(vectors: np.ndarray) -> np.ndarray:
-    """A number per row, counted from 0 in order of first sight; equal rows share one."""
-    seen: dict[bytes, int] = {}
-    numbers = (seen.setdefault(row.tobytes(), len(seen)) for row in vectors)
-    return np.fromiter(numbers, np.int64, len(vectors))
+    """A number per row, counted from 0 in order of first sight; equal rows share one.
+
+    Rows are told apart by a 64-bit fingerprint; only rows that share one are compared.
+    """
+    rows = np.ascontiguousarray(vectors)
+    n, width = rows.shape
+    if n == 0 or width == 0:
+        return np.zeros(n, np.int64)
+    words = rows.view(f"u{rows.dtype.itemsize}").astype(np.uint64) + np.uint64(1)
+    mix = np.resize(_MIX, width) * (np.arange(width, dtype=np.uint64) // np.uint64(len(_MIX)) * np.uint64(2) + np.uint64(1))
+    prints = (words * mix) ^ ((words * mix) >> np.uint64(29))
+    prints = (prints * mix[::-1]).sum(axis=1, dtype=np.uint64)
+    _, first, label = np.unique(prints, return_index=True, return_inverse=True)
+    if not np.array_equal(rows[first[label]].view(np.uint8), rows.view(np.uint8)):
+        # Two vectors share a fingerprint: compare whole rows.
+        whole = rows.view(np.dtype((np.void, rows.dtype.itemsize * width))).ravel()
+        _, first, label = np.unique(whole, return_index=True, return_inverse=True)
+    order = np.argsort(np.argsort(first))
+    return order[label].astype(np.int64)
 
 
 def best_of_block(

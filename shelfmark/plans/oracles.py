@@ -43,7 +43,7 @@ _AGREEMENT = """count(*) AS pairs, round(avg(cosine), 6) AS mean_cosine,
 
 def _encoded(source: str, id_col: str, text_col: str, dim: int = 384) -> str:
     """(id, vec) by hashed words, vectors of 32-bit floats."""
-    return f"""
+    return rf"""
   SELECT g.id, list(CAST(coalesce(s.total, 0) / coalesce(s.length, 1) AS FLOAT) ORDER BY g.d) AS vec
   FROM (SELECT {id_col} AS id, unnest(range({dim})) AS d FROM {source}) g
   LEFT JOIN (
@@ -53,7 +53,7 @@ def _encoded(source: str, id_col: str, text_col: str, dim: int = 384) -> str:
              sum(1 - 2 * (CAST('0x' || h[9] AS BIGINT) % 2))::DOUBLE AS total
       FROM (SELECT id, md5(lower(word)) AS h
             FROM (SELECT {id_col} AS id,
-                         unnest(regexp_extract_all({text_col}, '[A-Za-z0-9]+')) AS word
+                         unnest(regexp_extract_all({text_col}, '[\p{{L}}\p{{N}}]+')) AS word
                   FROM {source}))
       GROUP BY ALL)
   ) s ON s.id = g.id AND s.d = g.d AND s.length > 0

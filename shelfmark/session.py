@@ -15,27 +15,17 @@ from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
-_local_root: dict[str, str] = {}
 _shared: ContextVar[list[Broadcast] | None] = ContextVar("shared", default=None)
 
 
 def work_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables and streaming state.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session,
-    which has a single machine, falls back to a fresh temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``; without that, it is a folder
+    of the warehouse, which executors share as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    app = context.applicationId
-    if app not in _local_root:
-        _local_root[app] = tempfile.mkdtemp(prefix="shelfmark-")
-        context.setCheckpointDir(_local_root[app])
-    return _local_root[app]
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
 
 
 def new_work_dir(spark: SparkSession, purpose: str) -> str:
