@@ -12,6 +12,7 @@ visited by a third of the queries, is spread over many tasks.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,11 +27,10 @@ from pyspark.sql import types as T
 from shelfmark import config
 from shelfmark.functions import vectors as V
 from shelfmark.operators.blocks import TopK, placed, vectors_of
-from shelfmark.operators.nearest import RESULT, top_k_rows
+from shelfmark.operators.nearest import RESULT, named_again, top_k_rows, with_keys
 from shelfmark.session import ensure_checkpoints, share
 
-#: Rows per list that the centroids are fitted on.
-FIT_ROWS_PER_LIST = 256
+_log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
@@ -54,25 +54,22 @@ def fit_centroids(
     metric: str = "l2",
     *,
     seed: int = 42,
-    item_rows: int | None = None,
+    sweeps: int = 20,
 ) -> Centroids:
-    """K-means centres, fitted on a bounded number of items.
+    """K-means centres of all items; a warning says if ``sweeps`` did not suffice.
 
-    Only the placement of the centres depends on that choice: every item is
-    assigned to a list afterwards. For ``cosine`` vectors are scaled to length
-    one, where nearness by distance and by angle agree.
+    The centres only place the lists: results that visit all lists, or that prune,
+    do not depend on them. For ``cosine`` vectors are scaled to length one, where
+    nearness by distance and by angle agree.
     """
-    rows = items.count() if item_rows is None else item_rows
     usable = items.where(F.col("embedding").isNotNull())
-    share = min(1.0, lists * FIT_ROWS_PER_LIST / max(rows, 1))
-    if share < 1.0:
-        spot = F.pmod(F.xxhash64("item_id", F.lit(seed)), F.lit(1 << 30))
-        usable = usable.where(spot < int(share * (1 << 30)))
     place = V.unit(F.col("embedding")) if metric == "cosine" else F.col("embedding")
     points = usable.select(
         array_to_vector(F.transform(place, lambda x: x.cast("double"))).alias("features")
     )
-    model = KMeans(k=max(lists, 2), seed=seed, maxIter=10, initSteps=2).fit(points)
+    model = KMeans(k=max(lists, 2), seed=seed, maxIter=sweeps, initSteps=2).fit(points)
+    if model.hasSummary and model.summary.numIter >= sweeps:
+        _log.warning("the centres of %d lists still moved after %d sweeps", lists, sweeps)
     centers = np.asarray(model.clusterCenters(), dtype=np.float32)
     if centers.nbytes > config.BROADCAST_BYTES:
         raise ValueError("too many lists: the centroids must fit a broadcast")
@@ -152,13 +149,17 @@ def knn_lists(
     shuffled into cells.
     """
     nprobe = min(nprobe, len(centroids))
-    visits = nearest_lists(queries, centroids, nprobe)
     rows = queries.count() if query_rows is None else query_rows
-    if rows * nprobe * (4 * centroids.vectors.shape[1] + 16) <= broadcast_bytes:
-        return _scan_lists(visits, listed, len(centroids), k, centroids.metric, digits)
-    return search_cells(
-        visits, listed, k, centroids.metric, digits=digits, cell_rows=cell_rows
-    )
+    keyed, names = with_keys(queries.select("query_id", "embedding"))
+    visits = nearest_lists(keyed, centroids, nprobe)
+    # A visit holds a vector, and room for its results in each task.
+    if rows * nprobe * (4 * centroids.vectors.shape[1] + 16 + 16 * k) <= broadcast_bytes:
+        found = _scan_lists(visits, listed, len(centroids), k, centroids.metric, digits)
+    else:
+        found = search_cells(
+            visits, listed, k, centroids.metric, digits=digits, cell_rows=cell_rows
+        )
+    return named_again(found, names)
 
 
 def _scan_lists(
@@ -203,27 +204,33 @@ def knn_pruned(
     metric: str = "l2",
     *,
     lists: int | None = None,
+    prune: bool | None = None,
     digits: int = config.SCORE_DIGITS,
     cell_rows: int = config.CELL_ROWS,
 ) -> DataFrame:
     """Exact k nearest items when neither side fits a broadcast.
 
     A first visit to the nearest list bounds the distance of the k-th best. A list
-    is then visited only if its centre is within that bound plus its radius.
+    is then visited only if its centre is within that bound plus its radius. Where
+    that would copy more rows than comparing all blocks of queries with all blocks of
+    items (lists hardly prune in many dimensions), the blocks are compared instead.
     """
-    ensure_checkpoints(queries.sparkSession)
-    queries = queries.select(F.col("query_id").cast("bigint"), "embedding")
+    spark = queries.sparkSession
+    ensure_checkpoints(spark)
     items = items.select(F.col("item_id").cast("bigint"), "embedding")
     if metric == "cosine":
         longer = V.norm(F.col("embedding")) > 0
         queries, items = queries.where(longer), items.where(longer)
     rows = items.count()
     if rows == 0:
-        return queries.sparkSession.createDataFrame([], RESULT)
-    lists = lists or int(np.clip(np.sqrt(rows), 2, 4096))
-    centroids = fit_centroids(items, lists, metric, item_rows=rows)
+        return spark.createDataFrame([], RESULT)
+    queries, names = with_keys(queries.where(F.col("embedding").isNotNull()))
+    if lists is None:
+        dim = items.select(F.size("embedding")).first()[0]
+        # As many as the centres may take of a broadcast.
+        lists = int(np.clip(np.sqrt(rows), 2, max(2, config.BROADCAST_BYTES // (8 * max(dim, 1)))))
+    centroids = fit_centroids(items, lists, metric)
     listed = assign_lists(items, centroids).checkpoint()
-    queries = queries.checkpoint()
     nearest = nearest_lists(queries, centroids, 1)
     first = search_cells(nearest, listed, k, metric, digits=digits, cell_rows=cell_rows)
     gap = 2 - 2 * F.col("score") if metric == "cosine" else F.col("score")
@@ -231,7 +238,16 @@ def knn_pruned(
     bound = bound.checkpoint()
     radius = listed.groupBy("list_id").agg(F.max("list_gap").alias("radius"))
     visits = _lists_within(queries.join(bound, "query_id", "left"), radius, centroids)
-    return search_cells(visits, listed, k, metric, digits=digits, cell_rows=cell_rows)
+    asked, copied = queries.count(), visits.count()
+    if prune is None:
+        query_blocks, item_blocks = -(-asked // cell_rows), -(-rows // cell_rows)
+        prune = copied + rows <= asked * item_blocks + rows * query_blocks
+    if not prune:
+        _log.info("%d visits of %d queries: comparing all blocks", copied, asked)
+        visits = queries.withColumn("list_id", F.lit(0).cast("bigint"))
+        listed = listed.withColumn("list_id", F.lit(0).cast("bigint"))
+    found = search_cells(visits, listed, k, metric, digits=digits, cell_rows=cell_rows)
+    return named_again(found, names)
 
 
 def _lists_within(queries: DataFrame, radius: DataFrame, centroids: Centroids) -> DataFrame:

@@ -52,11 +52,11 @@ def gram_sums(vector_pairs: DataFrame) -> DataFrame:
     return partial.groupBy("i", "j").agg(F.sum("value").alias("value"))
 
 
-def fit_weights(vector_pairs: DataFrame, *, ridge: float = 1e-3) -> tuple[float, ...]:
+def fit_weights(vector_pairs: DataFrame, *, ridge: float = 1e-3, sweeps: int = 20_000) -> tuple[float, ...]:
     """Non-negative weights w that bring ``sum(w * q * p)`` nearest the scores.
 
     The sums come from one distributed pass; the driver solves a system whose
-    size is the vector dimension.
+    size is the vector dimension, and raises if ``sweeps`` do not suffice.
     """
     rows = gram_sums(vector_pairs).toArrow()
     if rows.num_rows == 0:
@@ -65,16 +65,18 @@ def fit_weights(vector_pairs: DataFrame, *, ridge: float = 1e-3) -> tuple[float,
     sums = np.zeros((i.max() + 1, i.max() + 1))
     sums[i, j] = sums[j, i] = rows.column("value").to_numpy()
     gram, target = sums[:-1, :-1], sums[:-1, -1]
-    return tuple(float(w) for w in _nonnegative_solution(gram, target, ridge))
+    return tuple(float(w) for w in _nonnegative_solution(gram, target, ridge, sweeps))
 
 
-def _nonnegative_solution(gram: np.ndarray, target: np.ndarray, ridge: float) -> np.ndarray:
+def _nonnegative_solution(
+    gram: np.ndarray, target: np.ndarray, ridge: float, sweeps: int
+) -> np.ndarray:
     """Ridge least squares under w >= 0, one coordinate at a time."""
     size = len(gram)
     gram = gram + np.eye(size) * (ridge * np.trace(gram) / size + 1e-12)
     weights = np.zeros(size)
     slope = -target.astype(np.float64)
-    for _ in range(2000):
+    for _ in range(sweeps):
         moved = 0.0
         for d in range(size):
             best = max(0.0, weights[d] - slope[d] / gram[d, d])
@@ -84,8 +86,8 @@ def _nonnegative_solution(gram: np.ndarray, target: np.ndarray, ridge: float) ->
                 weights[d] = best
                 moved = max(moved, abs(step))
         if moved <= 1e-10 * max(1.0, weights.max()):
-            break
-    return weights
+            return weights
+    raise RuntimeError(f"the fit did not converge in {sweeps} sweeps")
 
 
 def apply_metric(vectors: DataFrame, weights: Sequence[float], col: str = "embedding") -> DataFrame:

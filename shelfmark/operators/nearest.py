@@ -1,7 +1,8 @@
 """Exact k nearest items for every query.
 
 Queries are (query_id bigint, embedding array<float>) and items are
-(item_id bigint, embedding array<float>); ids are unique on each side. The
+(item_id bigint, embedding array<float>). Item ids are unique. Query ids may repeat:
+each query row is answered for itself, under its id, whatever the strategy. The
 result is (query_id, item_id, rank, score). The score of ``l2`` is the squared
 distance, smaller is better; the score of ``cosine`` is the similarity, larger is
 better. A side may be broadcast only after its size has been counted:
@@ -9,7 +10,7 @@ better. A side may be broadcast only after its size has been counted:
 * ``items``: the items fit, so every query is answered where it lies, with no
   shuffle at all;
 * ``queries``: the queries fit, so the items are scanned once and each task
-  passes on its k best per query;
+  passes on its k best per query. Queries beyond the size go block by block;
 * ``lists``: neither fits, so both are cut into bounded cells (see
   :mod:`shelfmark.operators.lists`).
 """
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from shelfmark import config
 from shelfmark.operators.blocks import TopK, best_of_block, same_vectors, vectors_of
-from shelfmark.session import share
+from shelfmark.session import ensure_checkpoints, new_work_dir, released, share
 
 RESULT = "query_id bigint, item_id bigint, rank bigint, score double"
 _EMIT_ROWS = 50_000
@@ -47,7 +48,7 @@ def knn_exact(
     """The ``k`` nearest items of every query.
 
     ``query_rows``, ``item_rows`` and ``dim`` save a job each when the caller
-    knows them. A named ``strategy`` is refused if its side does not fit.
+    knows them. Strategy ``items`` is refused if the items do not fit.
     """
     queries = queries.select(F.col("query_id").cast("bigint"), "embedding").where(
         F.col("embedding").isNotNull()
@@ -61,11 +62,14 @@ def knn_exact(
         sizes = block_sizes(queries, items, k, query_rows, item_rows, dim)
         if strategy == "auto":
             strategy = choose_strategy(*sizes, broadcast_bytes)
-        elif sizes[strategy == "items"] > broadcast_bytes:
-            raise ValueError(f"the {strategy} are too large to broadcast")
+        elif strategy == "items" and sizes[1] > broadcast_bytes:
+            raise ValueError("the items are too large to broadcast")
     if strategy == "items":
         return _search_items_block(queries, items, k, metric, digits)
     if strategy == "queries":
+        blocks = -(-sizes[0] // broadcast_bytes)
+        if blocks > 1:
+            return _search_blocks(queries, items, k, metric, digits, blocks)
         return _search_queries_block(queries, items, k, metric, digits)
     from shelfmark.operators.lists import knn_pruned
 
@@ -136,7 +140,7 @@ def _search_queries_block(queries, items, k, metric, digits) -> DataFrame:
     ids, vectors = collect_block(queries, "query_id")
     labels = same_vectors(vectors)
     first = np.unique(labels, return_index=True)[1]
-    block = share(spark, (ids[first], vectors[first]))
+    block = share(spark, (np.arange(len(first)), vectors[first]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = TopK(*block.value, k, metric, digits)
@@ -148,12 +152,39 @@ def _search_queries_block(queries, items, k, metric, digits) -> DataFrame:
             yield found.slice(start, _EMIT_ROWS)
 
     found = top_k_rows(items.mapInArrow(run, RESULT), k, metric)
-    if len(first) == len(ids):
-        return found
     # Equal queries were searched once; the block they come from is small.
-    alike = spark.createDataFrame(pa.table({"first_id": ids[first][labels], "query_id": ids}))
+    alike = spark.createDataFrame(pa.table({"key": labels, "query_id": ids}))
     return (
-        found.withColumnRenamed("query_id", "first_id")
-        .join(F.broadcast(alike), "first_id")
+        found.withColumnRenamed("query_id", "key")
+        .join(F.broadcast(alike), "key")
         .select("query_id", "item_id", "rank", "score")
     )
+
+
+def with_keys(queries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Queries under a key of their own (as query_id), written to the shared folder,
+    and the (key, query_id) that leads back."""
+    ensure_checkpoints(queries.sparkSession)
+    rows = queries.select(
+        F.monotonically_increasing_id().alias("key"), F.col("query_id").cast("bigint"), "embedding"
+    ).checkpoint()
+    return rows.select(F.col("key").alias("query_id"), "embedding"), rows.select("key", "query_id")
+
+
+def named_again(found: DataFrame, names: DataFrame) -> DataFrame:
+    """Results of keyed queries under the ids of the queries."""
+    joined = found.withColumnRenamed("query_id", "key").join(names, "key")
+    return joined.select("query_id", "item_id", "rank", "score")
+
+
+def _search_blocks(queries, items, k, metric, digits, blocks) -> DataFrame:
+    """One scan of the items for each block of queries; results to the shared folder."""
+    spark = queries.sparkSession
+    keyed, names = with_keys(queries)
+    path = new_work_dir(spark, "nearest")
+    for block in range(blocks):
+        part = keyed.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
+        with released():
+            found = _search_queries_block(part, items, k, metric, digits)
+            found.write.parquet(f"{path}/block={block}")
+    return named_again(spark.read.schema(RESULT).parquet(*(f"{path}/block={b}" for b in range(blocks))), names)

@@ -154,5 +154,6 @@ def _cosines(a: np.ndarray, b: np.ndarray, weights: np.ndarray | None) -> np.nda
 
 def is_held_out(query_id: str = "query_id", share: float = 0.2, seed: int = 42):
     """Whether a row belongs to the held-out part; all rows of a query go together."""
-    spot = F.pmod(F.xxhash64(F.col(query_id).cast("bigint"), F.lit(seed)), F.lit(1_000_000))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(query_id).cast("bigint").cast("string")))
+    spot = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(1_000_000))
     return spot < int(share * 1_000_000)

@@ -91,6 +91,70 @@ _SEARCH = f"""
   JOIN documents d ON d.doc_id = k.item_id
 """
 
+_CENTRES = """
+  SELECT item, list_id, row_number() OVER (PARTITION BY item ORDER BY gap, list_id) AS place
+  FROM (SELECT i.vec_id AS item, c.vec_id AS list_id,
+               round(pow(list_distance(i.embedding::DOUBLE[], c.embedding::DOUBLE[]), 2) + 1e-13, 9) AS gap
+        FROM embeddings i, embeddings c WHERE c.vec_id < 16)
+"""
+
+
+def _probed(nprobe: int) -> str:
+    """The five best items of the lists whose centres are nearest a query."""
+    return f"""
+  SELECT query_id, item_id, rank, score FROM (
+    SELECT query_id, item_id, score,
+           row_number() OVER (PARTITION BY query_id ORDER BY score, item_id) AS rank
+    FROM (SELECT q.vec_id AS query_id, i.vec_id AS item_id,
+                 round(pow(list_distance(q.embedding::DOUBLE[], i.embedding::DOUBLE[]), 2) + 1e-10, 6) AS score
+          FROM embeddings q JOIN ({_CENTRES}) v ON v.item = q.vec_id AND v.place <= {nprobe}
+          JOIN ({_CENTRES}) h ON h.list_id = v.list_id AND h.place = 1
+          JOIN embeddings i ON i.vec_id = h.item))
+  WHERE rank <= 5
+"""
+
+
+_RECALL = " UNION ALL ".join(
+    f"""SELECT {n}::BIGINT AS nprobe, round(count(*) / (SELECT count(*) FROM exact), 4) AS recall
+  FROM ({_probed(n)}) p SEMI JOIN exact USING (query_id, item_id)"""
+    for n in (1, 4, 8)
+)
+_WEIGHTED_DOCUMENTS, _WEIGHTED_BENCHMARK = (
+    f"""SELECT id, list_transform(vec, lambda x: CAST(x / sqrt(list_inner_product(vec, vec)) AS FLOAT)) AS vec
+  FROM (SELECT id, {_WEIGHTED.format(v="vec::DOUBLE[]")} AS vec FROM ({encoded}))"""
+    for encoded in (_DOCUMENT_VECTORS, _encoded("benchmark", "item_id", "text"))
+)
+
+_HELD_OUT = "CAST('0x' || md5('42:' || query_id)[1:8] AS BIGINT) % 1000000 < 200000"
+
+
+def _fitted(pairs: str, sweeps: int = 150) -> str:
+    """CTEs that end in ``fitted`` (w): the ridge problem under w >= 0 solved one
+    coordinate at a time, in SQL."""
+    return f"""
+  numbered AS (SELECT row_number() OVER () AS n, q, p, score FROM {pairs}),
+  terms AS (
+    SELECT n, unnest(range(64)) AS d, unnest(q) * unnest(p) AS v FROM numbered
+    UNION ALL SELECT n, 64, score FROM numbered),
+  sums AS MATERIALIZED (
+    SELECT a.d AS i, b.d AS j, sum(a.v * b.v) AS value FROM terms a JOIN terms b ON a.n = b.n
+    WHERE a.d < 64 GROUP BY 1, 2),
+  ridge AS (SELECT 1e-3 * sum(value) / 64 + 1e-12 AS r FROM sums WHERE i = j),
+  gram AS MATERIALIZED (
+    SELECT i, list(value + CASE WHEN i = j THEN r ELSE 0 END ORDER BY j) FILTER (j < 64) AS along,
+           max(value) FILTER (j = 64) AS target
+    FROM sums, ridge GROUP BY i),
+  steps(n, w) AS (
+    SELECT 0, list_transform(range(64), lambda x: 0.0::DOUBLE)
+    UNION ALL
+    SELECT n + 1, list_transform(w, lambda x, k: CASE WHEN k = i + 1 THEN
+      greatest(0.0, x - (list_inner_product(along, w) - target) / along[i + 1]) ELSE x END)
+    FROM steps JOIN gram ON i = n % 64 WHERE n < {64 * sweeps}),
+  fitted AS (SELECT w FROM steps WHERE n = {64 * sweeps})"""
+
+
+_REQUEST_ID = "conv_id * (SELECT max(turn) + 1 FROM conversations) + turn"
+
 ORACLES = {
     "label_score": f"""
   SELECT product_id, label, CAST({_SCORE} AS DOUBLE) AS label_score FROM ({_LABELS})
@@ -117,21 +181,25 @@ ORACLES = {
          p_size::DOUBLE AS rating_count, round(p_retailprice::FLOAT::DOUBLE, 2) AS average_rating
   FROM part
 """,
-    "index_quality": """
-  SELECT count(*) AS items, count(DISTINCT vec_id) AS distinct_ids,
-         count(*) FILTER (embedding IS NULL) AS null_vectors,
-         count(*) FILTER (list_aggregate(list_transform(embedding, lambda x: abs(x)), 'max') = 0)
-           AS zero_vectors,
-         count(*) FILTER (len(list_filter(embedding, lambda x: x IS NULL OR isnan(x))) > 0)
-           AS broken_vectors,
-         min(len(embedding)) AS min_dim, max(len(embedding)) AS max_dim,
-         count(*) AS source_items,
-         count(*) = count(DISTINCT vec_id)
-           AND count(*) FILTER (embedding IS NULL) = 0
-           AND count(*) FILTER (list_aggregate(list_transform(embedding, lambda x: abs(x)), 'max') = 0) = 0
-           AND count(*) FILTER (len(list_filter(embedding, lambda x: x IS NULL OR isnan(x))) > 0) = 0
-           AND min(len(embedding)) = max(len(embedding)) AS ok
-  FROM embeddings
+    "catalog_load": f"""
+  SELECT l.product_id AS id, b.item_id AS query_id, l.label, CAST({_SCORE} AS DOUBLE) AS label_score,
+         NULL::VARCHAR AS note, replace(b.text, chr(10), ' ') AS query,
+         concat_ws(' ', d.lang, d.source) AS product_name, length(d.text) AS text_chars
+  FROM ({_LABELS}) l JOIN documents d ON d.doc_id = l.product_id
+  JOIN benchmark b ON b.item_id = l.product_id % (SELECT count(*) FROM benchmark)
+""",
+    "table_preview": """
+  SELECT 'file' AS look, concat(p_partkey, chr(9), p_brand) AS seen FROM part
+  UNION ALL SELECT 'column', unnest(['p_partkey bigint', 'p_brand string'])
+  UNION ALL SELECT 'peek', CAST(least(10, count(*)) AS VARCHAR) FROM part
+""",
+    "index_quality": r"""
+  SELECT count(*) AS items, count(DISTINCT doc_id) AS distinct_ids, 0::BIGINT AS null_vectors,
+         0::BIGINT AS zero_vectors, 0::BIGINT AS broken_vectors, 384::BIGINT AS min_dim, 384::BIGINT AS max_dim,
+         (SELECT count(*) FROM documents WHERE doc_id % 7 <> 0 AND text IS NOT NULL) AS source_items,
+         count(*) = (SELECT count(*) FROM documents WHERE doc_id % 7 <> 0 AND text IS NOT NULL) AS ok,
+         (SELECT count(*) FROM documents) - count(*) AS set_aside
+  FROM documents WHERE doc_id % 7 <> 0 AND regexp_matches(text, '[\p{L}\p{N}]')
 """,
     "judged_pairs": """
   SELECT s_suppkey AS query_id, p_partkey AS item_id, s_name AS query,
@@ -175,6 +243,23 @@ ORACLES = {
     UNION ALL SELECT n, 64, score FROM pairs)
   SELECT a.d::BIGINT AS i, b.d::BIGINT AS j, round(sum(a.v * b.v), 6) AS value
   FROM columns a JOIN columns b ON a.n = b.n AND a.d <= b.d GROUP BY 1, 2
+""",
+    "fit_metric_weights": f"""
+  WITH RECURSIVE pairs AS ({_JUDGED_VECTORS}), {_fitted("pairs")}
+  SELECT unnest(range(64)) AS dimension, round(unnest(w), 4) AS weight FROM fitted
+""",
+    "tuning_comparison": f"""
+  WITH RECURSIVE pairs AS (SELECT *, {_HELD_OUT} AS held_out FROM ({_JUDGED_VECTORS})),
+  training AS (SELECT * FROM pairs WHERE NOT held_out), {_fitted("training")},
+  moved AS (
+    SELECT held_out, score, list_transform(q, lambda x, k: x * sqrt(w[k])) AS q,
+           list_transform(p, lambda x, k: x * sqrt(w[k])) AS p FROM pairs, fitted),
+  scored AS (
+    SELECT 'original' AS model, held_out, score, {_COSINE.format(a="q", b="p")} AS cosine FROM pairs
+    UNION ALL SELECT 'tuned', held_out, score, {_COSINE.format(a="q", b="p")} FROM moved)
+  SELECT model, held_out, count(*) AS pairs, round(avg(cosine), 4) AS mean_cosine,
+         round(corr(cosine, score), 4) AS correlation
+  FROM scored WHERE cosine IS NOT NULL AND score IS NOT NULL GROUP BY model, held_out
 """,
     "apply_metric": f"""
   {_LONG}
@@ -195,6 +280,15 @@ ORACLES = {
     "knn_pruned": _KNN_L2,
     "knn_lists_full": _KNN_L2,
     "knn_lists_scan": _KNN_L2,
+    "knn_repeated": f"SELECT query_id % 50 AS query_id, item_id, rank, score FROM ({_KNN_L2})",
+    "knn_lists_probe": _probed(4),
+    "knn_lists_recall": f"WITH exact AS ({_KNN_L2}) {_RECALL}",
+    "tuned_search": f"""
+  SELECT k.query_id, k.rank, k.item_id AS product_id,
+         concat_ws(' ', d.lang, d.source) AS product_name, d.text AS product_description, k.score
+  FROM ({_knn(_WEIGHTED_BENCHMARK, _WEIGHTED_DOCUMENTS)}) k
+  JOIN documents d ON d.doc_id = k.item_id
+""",
     "encode_hashed": f"SELECT * FROM ({_LONG} FROM ({_DOCUMENT_VECTORS})) WHERE value <> 0",
     "index_roundtrip": f"SELECT *, 2::BIGINT AS version FROM ({_LONG} FROM ({_VECTORS}))",
     "semantic_search": _SEARCH,
@@ -205,8 +299,14 @@ ORACLES = {
     "stream_search": f"""
   SELECT k.query_id AS request_id, 0::BIGINT AS pos, k.rank, k.item_id AS product_id,
          concat_ws(' ', d.lang, d.source) AS product_name, k.score
-  FROM ({_knn(_encoded("(SELECT conv_id * 4096 + turn AS request_id, text FROM conversations)",
+  FROM ({_knn(_encoded(f"(SELECT {_REQUEST_ID} AS request_id, text FROM conversations)",
                        "request_id", "text"), _DOCUMENT_VECTORS)}) k
   JOIN documents d ON d.doc_id = k.item_id
+""",
+    "request_outcomes": f"""
+  SELECT {_REQUEST_ID} AS request_id,
+         CASE WHEN conv_id % 7 = 0 THEN 'unreadable' WHEN turn % 5 = 0 OR text IS NULL THEN 'no query'
+              ELSE 'answered' END AS outcome
+  FROM conversations
 """,
 }

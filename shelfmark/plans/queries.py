@@ -10,6 +10,9 @@ The tables stand in for a catalog like this:
 
 from __future__ import annotations
 
+import uuid
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,14 +24,16 @@ from shelfmark.operators import evaluate, lists, metric, nearest, pairs, profile
 from shelfmark.operators.encode import encode, spread
 from shelfmark.operators.skew import join_counted
 from shelfmark.plans import tuning
+from shelfmark.plans.catalog import load_catalog
 from shelfmark.plans.search import search
-from shelfmark.session import new_work_dir, ship
+from shelfmark.session import ensure_checkpoints, new_work_dir, ship
 from shelfmark.sources import files, index, tables
-from shelfmark.streaming.search import read_answers, stream_search
+from shelfmark.streaming.search import read_answers, read_rejected, stream_search
 
 DIM = 384
 VECTOR_DIM = 64
 LISTS = 16
+PROBES = (1, 4, 8)
 FIXED_WEIGHTS = tuple(1.0 / (1 + d) for d in range(VECTOR_DIM))
 
 
@@ -147,7 +152,7 @@ def search_text(spark, sf_dir):
 def file_roundtrip(spark, sf_dir):
     """Parts written as tab-separated text, read by schema, stored and read back."""
     root = new_work_dir(spark, "files")
-    names = Names(database="shelfmark_files", root=root)
+    names = Names(database=f"files_{uuid.uuid4().hex}", root=root)
     source = _table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("int").alias("product_id"),
         F.col("p_name").alias("product_name"),
@@ -179,9 +184,74 @@ def file_roundtrip(spark, sf_dir):
     )
 
 
+def catalog_load(spark, sf_dir):
+    """Three files written, loaded into tables with scored labels, and joined again."""
+    root = new_work_dir(spark, "load")
+    names = Names(database=f"load_{uuid.uuid4().hex}", root=root)
+    docs = _table(spark, sf_dir, "documents")
+    products = docs.select(
+        F.col("doc_id").cast("int").alias("product_id"),
+        F.concat_ws(" ", "lang", "source").alias("product_name"), F.col("source").alias("product_class"),
+        F.col("lang").alias("category_hierarchy"), F.col("text").alias("product_description"),
+        F.lit(None).cast("string").alias("product_features"), F.lit(None).cast("float").alias("rating_count"),
+        F.lit(None).cast("float").alias("average_rating"), F.lit(None).cast("float").alias("review_count"),
+    )
+    asked = benchmark_queries(spark, sf_dir).select(
+        F.col("query_id").cast("int"), F.translate("query", "\n", " ").alias("query"), F.lit("all").alias("query_class")
+    )
+    items = asked.agg(F.count(F.lit(1))).scalar()
+    judged = judged_documents(spark, sf_dir).select(
+        F.col("product_id").cast("int").alias("id"), F.pmod("product_id", items).cast("int").alias("query_id"),
+        F.col("product_id").cast("int"), "label",
+    )
+    for name, frame in (("products", products), ("queries", asked), ("labels", judged)):
+        frame.write.csv(f"{root}/{name}", sep="\t", header=True, escape='"', emptyValue="")
+    load_catalog(spark, f"{root}/products", f"{root}/queries", f"{root}/labels", names)
+    stored = {n: tables.load_table(spark, names.table(n)) for n in (names.products, names.queries, names.labels)}
+    labels = tables.add_column_if_missing(stored[names.labels], "label_score", "float")
+    labels = tables.add_column_if_missing(labels, "note", "string")
+    return (
+        labels.join(stored[names.queries], "query_id")
+        .join(stored[names.products], "product_id")
+        .select(
+            F.col("id").cast("bigint"), F.col("query_id").cast("bigint"), "label",
+            F.col("label_score").cast("double"), "note", "query", "product_name",
+            F.length("product_description").cast("bigint").alias("text_chars"),
+        )
+    )
+
+
+def table_preview(spark, sf_dir):
+    """A stored table described, looked at, and its file read raw."""
+    root = new_work_dir(spark, "preview")
+    names = Names(database=f"preview_{uuid.uuid4().hex}", root=root)
+    held = _table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    tables.create_database(spark, names.database, f"{root}/database")
+    tables.save_table(held, names.table("part"), f"{root}/part")
+    stored = tables.load_table(spark, names.table("part"))
+    described = tables.describe(spark, names.table("part")).where(F.col("col_name").isin("p_partkey", "p_brand"))
+    held.write.csv(f"{root}/raw", sep="\t")
+    raw = files.preview_file(spark, f"{root}/raw").select(F.lit("file").alias("look"), F.col("_c0").alias("seen"))
+    seen = tables.peek(stored, 10).agg(F.count(F.lit(1)).cast("string").alias("seen"))
+    return (
+        raw.unionByName(described.select(F.lit("column").alias("look"), F.concat_ws(" ", "col_name", "data_type").alias("seen")))
+        .unionByName(seen.select(F.lit("peek").alias("look"), "seen"))
+    )
+
+
 def index_quality(spark, sf_dir):
-    held = vectors(spark, sf_dir, "item_id")
-    return profile.index_quality(held, _table(spark, sf_dir, "embeddings"))
+    """An index written from documents, some without text, against its source."""
+    encoder = HashedEncoder(DIM)
+    path = new_work_dir(spark, "index")
+    items = document_items(spark, sf_dir).withColumn(
+        "item_text", F.when(F.pmod("item_id", F.lit(7)) != 0, F.col("item_text"))
+    )
+    version = index.write_index(items, path, encoder)
+    opened = index.read_index(spark, path, encoder)
+    usable, _ = text.split_by_text(items)
+    aside = index.read_aside(spark, path, version).agg(F.count(F.lit(1)).alias("set_aside"))
+    checked = profile.index_quality(opened.items, usable)
+    return checked.withColumn("set_aside", aside.scalar())
 
 
 # --- judged pairs and agreement --------------------------------------------
@@ -251,11 +321,13 @@ def fit_metric_gram(spark, sf_dir):
 
 def fit_metric_weights(spark, sf_dir):
     weights = metric.fit_weights(judged_vectors(spark, sf_dir))
-    return spark.createDataFrame(list(enumerate(weights)), "dimension bigint, weight double")
+    fitted = spark.createDataFrame(list(enumerate(weights)), "dimension bigint, weight double")
+    return fitted.select("dimension", F.round("weight", 4).alias("weight"))
 
 
 def tuning_comparison(spark, sf_dir):
-    return tuning.tune(judged_vectors(spark, sf_dir)).comparison
+    compared = tuning.tune(judged_vectors(spark, sf_dir)).comparison
+    return compared.withColumns({c: F.round(c, 4) for c in ("mean_cosine", "correlation")})
 
 
 def apply_metric(spark, sf_dir):
@@ -324,15 +396,37 @@ def knn_lists_scan(spark, sf_dir):
     return lists.knn_lists(vectors(spark, sf_dir, "query_id"), listed, centroids, nprobe=LISTS)
 
 
+def knn_repeated(spark, sf_dir):
+    """Queries that share ids, searched in blocks of a few."""
+    asked = vectors(spark, sf_dir, "query_id").withColumn("query_id", F.pmod("query_id", F.lit(50)))
+    return nearest.knn_exact(
+        asked, vectors(spark, sf_dir, "item_id"), strategy="queries", broadcast_bytes=64 * 1024
+    )
+
+
+def _given_lists(spark, sf_dir):
+    """Lists around the first vectors, so that what is in them needs no fit."""
+    items = vectors(spark, sf_dir, "item_id")
+    first = items.where(F.col("item_id") < LISTS).orderBy("item_id").collect()
+    centroids = lists.Centroids(np.array([r["embedding"] for r in first], np.float32))
+    ensure_checkpoints(spark)
+    return lists.assign_lists(items, centroids).checkpoint(), centroids
+
+
+def knn_lists_probe(spark, sf_dir):
+    listed, centroids = _given_lists(spark, sf_dir)
+    return lists.knn_lists(vectors(spark, sf_dir, "query_id"), listed, centroids, nprobe=PROBES[1])
+
+
 def knn_lists_recall(spark, sf_dir):
     """Share of the exact results that each number of visited lists finds."""
-    listed, centroids = _listed(spark, sf_dir)
+    listed, centroids = _given_lists(spark, sf_dir)
     asked = vectors(spark, sf_dir, "query_id")
     exact = _self_search(spark, sf_dir).select("query_id", "item_id")
     found = None
-    for nprobe in (1, 4, 8):
+    for nprobe in PROBES:
         part = lists.knn_lists(asked, listed, centroids, nprobe=nprobe)
-        part = part.select("query_id", "item_id", F.lit(nprobe).alias("nprobe"))
+        part = part.select("query_id", "item_id", F.lit(nprobe).cast("bigint").alias("nprobe"))
         found = part if found is None else found.unionByName(part)
     total = exact.agg(F.count(F.lit(1)))
     return (
@@ -387,13 +481,26 @@ def semantic_search_lists(spark, sf_dir):
     return search(benchmark_queries(spark, sf_dir), opened, encoder, nprobe=LISTS)
 
 
+def tuned_search(spark, sf_dir):
+    """Search of an index moved to a weighted space, no text encoded again."""
+    encoder = HashedEncoder(DIM)
+    path = new_work_dir(spark, "index")
+    index.write_index(document_items(spark, sf_dir), path, encoder)
+    weights = tuple(1.0 / (1 + d) for d in range(DIM))
+    tuned = tuning.Tuned(weights, None, True)
+    version, moved = tuning.reindex(index.read_index(spark, path, encoder), encoder, tuned, path)
+    opened = index.read_index(spark, path, moved, version=version)
+    return search(benchmark_queries(spark, sf_dir), opened, moved)
+
+
 # --- requests and streaming ------------------------------------------------
 
 
-def _requests(spark, sf_dir) -> DataFrame:
+def _requests(spark, sf_dir, query=None) -> DataFrame:
     """One request body per conversation turn."""
     turns = _table(spark, sf_dir, "conversations")
-    body = encode_request(F.col("turn"), ["role", "query"], F.col("role"), F.col("text"))
+    query = F.col("text") if query is None else query
+    body = encode_request(F.col("turn"), ["role", "query"], F.col("role"), query)
     return turns.select("conv_id", "turn", body.alias("body"))
 
 
@@ -401,13 +508,14 @@ def requests_roundtrip(spark, sf_dir):
     return decode_requests(_requests(spark, sf_dir))
 
 
-def stream_search_requests(spark, sf_dir):
-    """Every conversation turn sent as a request through a file stream."""
+def _streamed(spark, sf_dir, requests: DataFrame) -> str:
+    """Requests sent through a file stream; the folder of the answers."""
     encoder = HashedEncoder(DIM)
     root = new_work_dir(spark, "stream")
     version = index.write_index(document_items(spark, sf_dir), f"{root}/index", encoder)
-    request_id = F.shiftleft("conv_id", 12) + F.col("turn")
-    inbox = _requests(spark, sf_dir).select(request_id.alias("request_id"), "body")
+    width = _table(spark, sf_dir, "conversations").agg(F.max("turn") + 1).first()[0] or 1
+    request_id = F.col("conv_id") * F.lit(width) + F.col("turn")
+    inbox = requests.select(request_id.alias("request_id"), "body")
     inbox.repartition(2).write.parquet(f"{root}/inbox")
     arriving = spark.readStream.schema(inbox.schema).option("maxFilesPerTrigger", 1).parquet(
         f"{root}/inbox"
@@ -419,17 +527,37 @@ def stream_search_requests(spark, sf_dir):
     if not running.awaitTermination(1800):
         running.stop()
         raise TimeoutError("the stream did not finish")
+    return root
+
+
+def stream_search_requests(spark, sf_dir):
+    """Every conversation turn sent as a request through a file stream."""
+    root = _streamed(spark, sf_dir, _requests(spark, sf_dir))
     return read_answers(spark, f"{root}/out").select(
         "request_id", "pos", "rank", "product_id", "product_name", "score"
     )
 
 
+def request_outcomes(spark, sf_dir):
+    """What became of each request, where every fifth turn asks nothing and every
+    seventh conversation sends a body that cannot be read."""
+    query = F.when(F.pmod("turn", F.lit(5)) != 0, F.col("text"))
+    sent = _requests(spark, sf_dir, query)
+    body = F.when(F.pmod("conv_id", F.lit(7)) == 0, F.lit("{")).otherwise(F.col("body"))
+    root = _streamed(spark, sf_dir, sent.withColumn("body", body))
+    answered = read_answers(spark, f"{root}/out").select("request_id", F.lit("answered").alias("outcome"))
+    refused = read_rejected(spark, f"{root}/rejected").select("request_id", F.col("reason").alias("outcome"))
+    return answered.distinct().unionByName(refused)
+
+
 QUERIES = {
     "label_score": label_score,
     "label_score_histogram": label_score_histogram,
     "query_class_histogram": query_class_histogram,
     "search_text": search_text,
     "file_roundtrip": file_roundtrip,
+    "catalog_load": catalog_load,
+    "table_preview": table_preview,
     "index_quality": index_quality,
     "judged_pairs": judged_pairs,
     "pair_cosine": pair_cosine,
@@ -447,11 +575,15 @@ QUERIES = {
     "knn_pruned": knn_pruned,
     "knn_lists_full": knn_lists_full,
     "knn_lists_scan": knn_lists_scan,
+    "knn_repeated": knn_repeated,
+    "knn_lists_probe": knn_lists_probe,
     "knn_lists_recall": knn_lists_recall,
     "encode_hashed": encode_hashed,
     "index_roundtrip": index_roundtrip,
     "semantic_search": semantic_search,
     "semantic_search_lists": semantic_search_lists,
+    "tuned_search": tuned_search,
     "requests_roundtrip": requests_roundtrip,
     "stream_search": stream_search_requests,
+    "request_outcomes": request_outcomes,
 }

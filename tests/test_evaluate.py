@@ -61,7 +61,9 @@ def test_nonnegative_solution_meets_its_conditions():
     x = rng.normal(size=(200, 10))
     y = x @ np.array([1, -1, 2, 0, 0, -3, 1, 0, 1, 0.5])
     gram, target = x.T @ x, x.T @ y
-    w = metric._nonnegative_solution(gram, target, 0.0)
+    w = metric._nonnegative_solution(gram, target, 0.0, 2000)
+    with pytest.raises(RuntimeError, match="did not converge"):
+        metric._nonnegative_solution(gram, target, 0.0, 1)
     slope = gram @ w - target
     assert (w >= 0).all() and (slope > -1e-5).all() and np.abs(slope * w).max() < 1e-4
 

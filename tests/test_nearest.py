@@ -88,9 +88,24 @@ def test_side_to_broadcast_follows_counted_size(data):
     assert choose_strategy(8000, 3600, 3599) == "lists"
     with pytest.raises(ValueError, match="unknown"):
         knn_exact(queries, items, strategy="guess")
-    for side in ("items", "queries"):
-        with pytest.raises(ValueError, match=f"{side} are too large"):
-            knn_exact(queries, items, strategy=side, broadcast_bytes=100)
+    with pytest.raises(ValueError, match="items are too large"):
+        knn_exact(queries, items, strategy="items", broadcast_bytes=100)
+
+
+@pytest.mark.parametrize("how", [
+    {"strategy": "items"}, {"strategy": "queries"}, {"strategy": "queries", "broadcast_bytes": 1024},
+    {"strategy": "lists"}, {"broadcast_bytes": 1024},
+])
+def test_repeated_query_ids_are_answered_each(spark, how):
+    rng = np.random.default_rng(3)
+    asked, held = rng.normal(size=(24, 6)), rng.normal(size=(60, 6))
+    items = frame(spark, "item_id", range(60), held)
+    queries = frame(spark, "query_id", [i % 5 for i in range(24)], asked)
+    got = sorted(tuple(r) for r in knn_exact(queries, items, 4, **how).collect())
+    want = sorted(
+        (i % 5, *row[1:]) for i in range(24) for row in brute_force([i], asked[i : i + 1], range(60), held, 4)
+    )
+    assert got == want
 
 
 def test_item_search_has_no_shuffle(data):
