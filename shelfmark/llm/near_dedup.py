@@ -11,7 +11,7 @@ sizes.
 
 Equal sets are one set from the start. Candidates are confirmed on the full sets, in
 rounds: each set tries the partners that most trees agree on, and pairs that are
-connected meanwhile need no check. A round tries four times as many as the one before,
+connected meanwhile need no check. A round tries many times as many as the one before,
 until no candidate is left, so none is dropped and a group of thousands costs about
 one check a member.
 
@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.common import store, text_slices
 from shelfmark.llm.components import components
+from shelfmark.session import share
 
 TREES = 20
 STEP = 5
@@ -43,6 +44,8 @@ DEPTHS = (5, 8, 12, 16)
 CROWD = 12
 SIMILAR_PERCENT = 80
 SHINGLE = 2
+#: Bits that tell which texts the confirmation asks for; a power of two.
+MARKS = 1 << 26
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -200,12 +203,31 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.mapInArrow(check, "a bigint, b bigint")
 
 
-def _packed(docs: DataFrame) -> DataFrame:
+def _marks(ids: DataFrame) -> np.ndarray:
+    """A bit for each of the ids' low bits: at most MARKS / 8 bytes, however many ids."""
+    bit = F.pmod("id", F.lit(MARKS))
+    rows = ids.groupBy(F.shiftright(bit, 15).alias("block")).agg(
+        F.bitmap_construct_agg(bit.bitwiseAND(F.lit(32767))).alias("bits")
+    )
+    marks = np.zeros((MARKS >> 15, 4096), np.uint8)
+    for row in rows.collect():
+        marks[row["block"]] = np.frombuffer(row["bits"], np.uint8)
+    return marks.ravel()
+
+
+def _packed(docs: DataFrame, marks: np.ndarray) -> DataFrame:
+    """(id, packed) of the documents whose mark is set: all that are asked for, and
+    others that share their low bits."""
+    shared = share(docs.sparkSession, marks)
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
-        for batch in text_slices(batches):
-            packed = [packer.compress((t or "").encode()) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "packed": pa.array(packed, pa.binary())})
+        for batch in batches:
+            at = batch.column("id").to_numpy() & (MARKS - 1)
+            asked = batch.filter(pa.array((shared.value[at >> 3] >> (at & 7) & 1).astype(bool)))
+            for part in text_slices(iter([asked])):
+                packed = [packer.compress((t or "").encode()) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_pydict({"id": part.column("id"), "packed": pa.array(packed, pa.binary())})
 
     read = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").where("id is not null")
     return read.mapInArrow(pack, "id bigint, packed binary")
@@ -215,7 +237,7 @@ def linked_groups(docs: DataFrame, sets: DataFrame) -> DataFrame:
     """(id, component) of the ids of ``sets`` that are linked to another one."""
     left = store(candidates(sets), "candidates")
     ids = left.select(F.col("a").alias("id")).union(left.select(F.col("b").alias("id"))).distinct()
-    texts = store(_packed(docs).join(ids, "id", "left_semi"), "texts")
+    texts = store(_packed(docs, _marks(ids)).join(ids, "id", "left_semi"), "texts")
     labels = ids.select("id", F.col("id").alias("component"))
     tries = 1
     while True:
@@ -235,7 +257,7 @@ def linked_groups(docs: DataFrame, sets: DataFrame) -> DataFrame:
             "labels",
         )
         left = left.where(F.col("rank") > tries).select("a", "b", "votes")
-        tries *= 4
+        tries *= 16
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
