@@ -2,22 +2,52 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import store
 
 
-def components(links: DataFrame) -> DataFrame:
+#: Links, without repeats, that one task settles: some tens of MB.
+SETTLED = 500_000
+
+
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Components of all the links, by union and find."""
+    least: dict[int, int] = {}
+
+    def root(i: int) -> int:
+        while (up := least.setdefault(i, i)) != i:
+            least[i] = least[up]
+            i = up
+        return i
+
+    for batch in batches:
+        for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+            a, b = sorted((root(u), root(v)))
+            least[b] = a
+    ids = list(least)
+    yield pa.RecordBatch.from_pydict(
+        {"id": pa.array(ids, pa.int64()), "component": pa.array(map(root, ids), pa.int64())}
+    )
+
+
+def components(links: DataFrame, settled: int = SETTLED) -> DataFrame:
     """(id, component) of every id in ``links`` (a, b), ids of 64 bits; the component
     is its smallest id.
 
     In turn, every id hands its larger neighbours, then its smaller ones, to the
     smallest id it knows, until each id is linked to its component alone. Minima are
-    combined before they are shuffled, so an id with many links is no burden.
+    combined before they are shuffled, so an id with many links is no burden. A table of
+    at most ``settled`` links takes one task instead, with the same result.
     """
     down = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     down = store(down.distinct(), "links")
+    if down.count() <= settled:
+        return down.coalesce(1).mapInArrow(_settle, "id bigint, component bigint")
     state = None
     while True:
         both = down.union(down.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -5,6 +5,8 @@ import random
 import zlib
 from collections import Counter
 
+import pytest
+
 from shelfmark.llm import components, mixing, near_dedup, sharding
 
 from .conftest import documents, messy_rows, prose
@@ -61,9 +63,10 @@ def test_rows_without_id_link_to_equal_sets(spark):
     assert got == {(None, None, True): 3, (None, 4, False): 1, (4, 4, True): 2}
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("settled", [0, components.SETTLED])
+def test_components_of_chains_and_stars(spark, settled):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(50)] + [(7, 7), (210, 205), (205, 203)]
-    found = components.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()
+    found = components.components(spark.createDataFrame(links, "a bigint, b bigint"), settled).collect()
     want = {i: 0 for i in range(41)} | {100 + i: 100 for i in range(50)} | {210: 203, 205: 203, 203: 203}
     assert {r["id"]: r["component"] for r in found} == want and len(found) == len(want)
 
