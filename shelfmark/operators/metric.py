@@ -20,8 +20,9 @@ def gram_sums(vector_pairs: DataFrame) -> DataFrame:
     """Sums of products (i, j, value), i <= j, over all complete pairs.
 
     Column ``d`` of a pair is ``query_vec[d] * item_vec[d]``; the last column is
-    the score. Each task adds up its own pairs, so what is shuffled depends on the
-    dimension and the number of tasks only.
+    the score. Each task adds up its own pairs into one packed row, and these are added
+    up in as many groups as there are shuffle partitions before they are taken apart, so
+    what is shuffled depends on the dimension and the number of tasks only.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -35,20 +36,32 @@ def gram_sums(vector_pairs: DataFrame) -> DataFrame:
             columns = np.concatenate([q * p, score[:, None]], axis=1)
             part = columns.T @ columns
             sums = part if sums is None else sums + part
+        if sums is not None:
+            packed = sums[np.triu_indices(len(sums))]
+            yield pa.RecordBatch.from_pydict({"size": [len(sums)], "sums": [packed]})
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, size = None, 0
+        for batch in batches:
+            for row in range(batch.num_rows):
+                part = batch.column("sums")[row].values.to_numpy()
+                size = batch.column("size")[row].as_py()
+                sums = part.copy() if sums is None else sums + part
         if sums is None:
             return
-        i, j = np.triu_indices(len(sums))
+        i, j = np.triu_indices(size)
         for s in range(0, len(i), _EMIT_ROWS):
-            rows, cols = i[s : s + _EMIT_ROWS], j[s : s + _EMIT_ROWS]
+            part = slice(s, s + _EMIT_ROWS)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows), pa.array(cols), pa.array(sums[rows, cols])],
-                names=["i", "j", "value"],
+                [pa.array(i[part]), pa.array(j[part]), pa.array(sums[part])], names=["i", "j", "value"]
             )
 
     usable = complete_pairs(vector_pairs, "query_vec", "item_vec", "score").select(
         "query_vec", "item_vec", F.col("score").cast("double")
     )
-    partial = usable.mapInArrow(run, "i bigint, j bigint, value double")
+    groups = int(usable.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = usable.mapInArrow(run, "size bigint, sums array<double>").repartition(groups)
+    partial = packed.mapInArrow(unpack, "i bigint, j bigint, value double")
     return partial.groupBy("i", "j").agg(F.sum("value").alias("value"))
 
 

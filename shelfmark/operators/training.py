@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfmark.session import new_work_dir
+
 #: Hex digits of the order key that name a slot: 65,536 slots.
 SLOT_DIGITS = 4
 
@@ -28,8 +30,12 @@ def shuffled_batches(
     product or query id may repeat without bound and would crowd one slot.
     Positions are counted per slot of equal key prefixes and shifted by the size
     of the slots before; only the slot sizes, a fixed number of rows, are ever in
-    one place.
+    one place. The examples are written to the shared folder first, so that counting
+    them does not make them twice.
     """
+    path = new_work_dir(examples.sparkSession, "examples")
+    examples.write.parquet(path)
+    examples = examples.sparkSession.read.schema(examples.schema).parquet(path)
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
     keyed = examples.withColumn("_key", key).withColumn(
         "_slot", F.substring("_key", 1, SLOT_DIGITS)

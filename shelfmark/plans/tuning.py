@@ -42,11 +42,10 @@ def tune(vector_pairs: DataFrame, *, share: float = 0.2, seed: int = 42) -> Tune
     if not any(weights):
         return Tuned(weights, compare_models(marked, {BEFORE: None}, "held_out"), False)
     comparison = compare_models(marked, {BEFORE: None, AFTER: weights}, "held_out")
-    # Two rows: one correlation per model.
-    found = {
-        row["model"]: row["correlation"]
-        for row in comparison.where("held_out").select("model", "correlation").collect()
-    }
+    # Four rows: one per model and part.
+    rows = comparison.collect()
+    comparison = vector_pairs.sparkSession.createDataFrame(rows, comparison.schema)
+    found = {row["model"]: row["correlation"] for row in rows if row["held_out"]}
     before, after = found.get(BEFORE), found.get(AFTER)
     improved = after is not None and (before is None or after > before)
     return Tuned(weights, comparison, improved)
