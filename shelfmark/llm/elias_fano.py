@@ -14,6 +14,7 @@ that nobody reads.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -24,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import store, text_slices
@@ -173,7 +174,14 @@ class ShardReader:
 
 
 def _place(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
+    # Hadoop writes file:/a where a URI has file:///a.
+    return fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", uri))
+
+
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its file system, as Spark itself would find it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_OF_DOCUMENT) -> DataFrame:
@@ -184,6 +192,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_OF
     ordered by the text's hash. A null text has no ids but the end id, like an empty one.
     """
     end = np.array([end_id], "<u4").tobytes()
+    folder = _qualified(docs.sparkSession, folder)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = encoder(tokenizer)
