@@ -27,7 +27,7 @@ def planted(n, seed):
 
 
 def test_unseen_spellings_are_found():
-    model = toxicity.train(*planted(400, 1), toxicity.Settings(batch_words=5000, epochs=6))
+    model = toxicity.train(*planted(400, 1), toxicity.Settings(batch_words=5000, epochs=6, weight=1.0))
     texts, labels = planted(200, 2)
     predicted = model.score(texts, {}) >= 0.5
     assert sum(p == bool(y) for p, y in zip(predicted, labels)) >= 190
