@@ -244,8 +244,9 @@ def knn_pruned(
         prune = copied + rows <= asked * item_blocks + rows * query_blocks
     if not prune:
         _log.info("%d visits of %d queries: comparing all blocks", copied, asked)
-        visits = queries.withColumn("list_id", F.lit(0).cast("bigint"))
-        listed = listed.withColumn("list_id", F.lit(0).cast("bigint"))
+        # One list of all; not a literal, so that cells still meet by their keys.
+        visits = queries.withColumn("list_id", F.pmod("query_id", F.lit(1)))
+        listed = listed.withColumn("list_id", F.pmod("item_id", F.lit(1)))
     found = search_cells(visits, listed, k, metric, digits=digits, cell_rows=cell_rows)
     return named_again(found, names)
 
