@@ -30,7 +30,7 @@ _PIECE = re.compile(
 _WORD = re.compile(f" ?[{_LATIN}]+")
 
 #: Most pieces in each of the cache's two generations.
-CACHED = 300_000
+CACHED = 500_000
 
 
 def default_tokenizer() -> str:
