@@ -7,7 +7,7 @@ long common prefix are its neighbours. A region of a tree is what shares a prefi
 Its depth adapts to how crowded it is: up to ``CROWD`` sets, all of them are
 candidates for each other; beyond, each is a candidate for the region's first set and
 the region is split by a longer prefix. At full depth a crowd is linked along its
-sizes.
+sizes. That gives a crowd its first links only: see Crowds.
 
 Equal sets are one set from the start. Candidates are confirmed on the full sets, in
 rounds: each set tries the partners that most trees agree on, and pairs that are
@@ -18,6 +18,14 @@ one check a member.
 Two sets of similarity s share a region at the first depth in one tree with
 probability ``s ** STEP``: at 0.8, 20 trees miss 3 pairs in 10,000. Deeper regions
 are more selective, but hold more partners.
+
+Crowds. What the candidates have not connected in a region of the first depth is
+compared whole: its members are dealt into blocks by their group so far, and every
+block meets every other, except blocks of one group. A meeting compares signatures, a
+byte of each of their values, and names pairs of different groups of which ``MATCHES``
+bytes agree; of two sets of similarity 0.8 in a region, 3 in 10 million fall short of
+that. Each set's best pairs are confirmed on the full sets, then the next best,
+until no pair is left that has not been tried.
 """
 
 from __future__ import annotations
@@ -42,6 +50,9 @@ STEP = 5
 DEPTHS = (5, 8, 12, 16)
 #: Most sets of a region that are all compared.
 CROWD = 12
+#: Most members of a crowd in a block, and least equal bytes of their signatures.
+BLOCK = 1024
+MATCHES = 60
 SIMILAR_PERCENT = 80
 SHINGLE = 2
 #: Bits that tell which texts the confirmation asks for; a power of two.
@@ -109,15 +120,17 @@ def prefix_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_a, set_b and keys (prefix hashes, tree by tree)."""
+    """doc_id, n_shingles, set_a, set_b, keys (prefix hashes, tree by tree) and marks (a
+    byte of each value of the signature)."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in text_slices(batches):
             sets = [shingler.shingles(t) for t in batch.column("text").to_pylist()]
             full = [s for s in sets if len(s)]
-            keys = prefix_keys(signatures(full)).reshape(len(full), -1).view(np.int64) if full else []
-            by_set = iter(keys)
+            signed = signatures(full) if full else np.zeros((0, TREES * STEP), np.uint64)
+            keys = prefix_keys(signed).reshape(len(full), -1).view(np.int64) if full else []
+            by_set, by_mark = iter(keys), iter(signed.astype(np.uint8))
             digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             pair = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_pydict(
@@ -127,11 +140,12 @@ def sketch(docs: DataFrame) -> DataFrame:
                     "set_a": pair[:, 0],
                     "set_b": pair[:, 1],
                     "keys": pa.array([next(by_set) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                    "marks": pa.array([next(by_mark).tobytes() if len(s) else None for s in sets], pa.binary()),
                 }
             )
 
     read = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    schema = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, keys array<bigint>"
+    schema = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, keys array<bigint>, marks binary"
     return read.mapInArrow(made, schema)
 
 
@@ -144,8 +158,9 @@ def _ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def candidates(sets: DataFrame) -> DataFrame:
-    """Pairs (a < b) of ``sets`` (id, n, keys) and the number of regions they share."""
+def candidates(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a < b) of ``sets`` (id, n, keys) and the number of regions they share; and
+    the crowds (region, id, n) that these pairs do not exhaust."""
     levels = range(len(DEPTHS))
     at = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     live = sets.select("id", "n", "keys", at).select(
@@ -171,13 +186,138 @@ def candidates(sets: DataFrame) -> DataFrame:
         to_head = crowded.where((F.col("head.id") != F.col("id")) & _sizes_allow(F.col("n"), F.col("head.n")))
         found.append(to_head.select(*_ordered(F.col("head.id"), F.col("id"))))
         live = crowded.drop("held", "head")
+        if level == 0:
+            crowds = live.select(F.col(key).alias("region"), "id", "n")
     along = Window.partitionBy(key).orderBy("n", "id")
     for step in range(1, 5):
         beside = live.select("id", "n", F.lag("id", step).over(along).alias("o"), F.lag("n", step).over(along).alias("m"))
         beside = beside.where(F.col("o").isNotNull() & _sizes_allow(F.col("n"), F.col("m")))
         found.append(beside.select(*_ordered(F.col("id"), F.col("o"))))
     pairs = reduce(DataFrame.union, found)
-    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("votes"))
+    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("votes")), crowds
+
+
+def _meetings(crowds: DataFrame) -> DataFrame:
+    """Members of ``crowds`` (region, id, n, component) that hold several components,
+    once for each meeting of two blocks (u, v) that they take part in, with the side: 0
+    or 1; 0 alone where a block meets itself.
+
+    A component with more than half a block has blocks of its own, which need not meet
+    each other; the others share blocks.
+    """
+    cells = store(crowds.groupBy("region", "component").agg(F.count(F.lit(1)).alias("held")), "cells")
+    own = F.col("held") > BLOCK // 2
+    plans = cells.groupBy("region").agg(
+        F.count(F.lit(1)).alias("components"),
+        F.ceil(F.coalesce(F.sum(F.when(~own, F.col("held"))), F.lit(0)) / (BLOCK // 2)).alias("shared"),
+        F.collect_list(F.when(own, F.struct("component", "held"))).alias("owners"),
+    )
+    plans = plans.where("components > 1")
+
+    def block(owned: Column, component: Column, part: Column) -> Column:
+        return F.struct(
+            owned.alias("owned"), component.cast("bigint").alias("component"), part.cast("bigint").alias("part")
+        )
+
+    def numbered(n: Column, made) -> Column:
+        return F.transform(F.filter(F.sequence(F.lit(0).cast("bigint"), n), lambda i: i < n), made)
+
+    def owned_blocks(x: Column) -> Column:
+        return numbered(F.ceil(x["held"] / BLOCK), lambda i: block(F.lit(True), x["component"], i))
+
+    blocks = F.concat(
+        numbered(F.col("shared"), lambda i: block(F.lit(False), F.lit(0), i)),
+        F.flatten(F.transform("owners", owned_blocks)),
+    )
+    plans = plans.select("region", "shared", blocks.alias("blocks"))
+    firsts = plans.select("region", "blocks", F.posexplode("blocks").alias("at", "u"))
+    met = F.filter(
+        F.slice("blocks", F.col("at") + 1, F.size("blocks")),
+        lambda v: ~(F.col("u.owned") & v["owned"] & (F.col("u.component") == v["component"])),
+    )
+    met = firsts.select("region", "u", F.explode(met).alias("v"))
+    sides = F.when(F.col("u") == F.col("v"), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
+    met = met.select("region", "u", "v", F.explode(sides).alias("side"))
+    met = met.select("*", F.when(F.col("side") == 0, F.col("u")).otherwise(F.col("v")).alias("block"))
+    placed = crowds.join(plans.select("region", "shared"), "region").join(cells, ["region", "component"])
+    spread = F.pmod(F.xxhash64("id"), F.ceil(F.col("held") / BLOCK))
+    dealt = F.pmod(F.xxhash64("component"), F.greatest(F.col("shared"), F.lit(1)))
+    at = F.when(own, block(F.lit(True), F.col("component"), spread)).otherwise(
+        block(F.lit(False), F.lit(0), dealt)
+    )
+    placed = placed.select("region", "id", "n", "component", at.alias("block"))
+    return placed.join(met, ["region", "block"]).drop("block")
+
+
+def _best(x: np.ndarray, y: np.ndarray, score: np.ndarray, most: int) -> np.ndarray:
+    """Which pairs (x, y) are among the ``most`` of their x with the highest score."""
+    order = np.lexsort((y, -score.astype(np.int64), x))
+    places = np.arange(len(order))
+    starts = np.r_[True, np.diff(x[order]) != 0] if len(order) else np.zeros(0, bool)
+    return order[places - np.maximum.accumulate(np.where(starts, places, 0)) < most]
+
+
+def _side(table: pa.Table) -> dict[str, np.ndarray]:
+    found = {c: table.column(c).to_numpy() for c in ("id", "n", "component")}
+    marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8)
+    tried = table.column("tried").to_pylist()
+    return found | {
+        "marks": np.ascontiguousarray(marks.reshape(-1, TREES * STEP).T),
+        "tried_by": np.repeat(np.arange(len(tried)), [len(t or ()) for t in tried]),
+        "tried": np.array([i for t in tried for i in t or ()], np.int64),
+    }
+
+
+def _tried(one: dict[str, np.ndarray], other: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``one`` and ``other`` of the pairs that ``one`` has tried."""
+    order = np.argsort(other["id"])
+    at = np.minimum(np.searchsorted(other["id"], one["tried"], sorter=order), len(order) - 1)
+    held = other["id"][order[at]] == one["tried"]
+    return one["tried_by"][held], order[at][held]
+
+
+def meet(table: pa.Table, most: int) -> pa.Table:
+    """The best ``most`` pairs of each member of a meeting: region, x, y, matches."""
+    sides = table.column("side").to_numpy()
+    left = _side(table.filter(pa.array(sides == 0)))
+    itself = not (sides == 1).any()
+    right = left if itself else _side(table.filter(pa.array(sides == 1)))
+    found = []
+    if len(left["id"]) and len(right["id"]):
+        open_pairs = left["component"][:, None] != right["component"][None, :]
+        open_pairs[_tried(left, right)] = False
+        open_pairs[_tried(right, left)[::-1]] = False
+        smaller = np.minimum(left["n"][:, None], right["n"][None, :])
+        open_pairs &= smaller * 100 >= np.maximum(left["n"][:, None], right["n"][None, :]) * SIMILAR_PERCENT
+        for first in range(0, len(left["id"]), 128):
+            matches = np.zeros((len(left["id"][first : first + 128]), len(right["id"])), np.uint8)
+            for ours, theirs in zip(left["marks"], right["marks"]):
+                matches += ours[first : first + 128, None] == theirs[None, :]
+            i, j = np.nonzero((matches >= MATCHES) & open_pairs[first : first + 128])
+            found.append((left["id"][first + i], right["id"][j], matches[i, j]))
+    x, y, score = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+    if not itself:
+        x, y, score = np.r_[x, y], np.r_[y, x], np.r_[score, score]
+    best = _best(x, y, score, most)
+    regions = np.full(len(best), table.column("region")[0].as_py(), np.int64)
+    return pa.table({"region": regions, "x": x[best], "y": y[best], "matches": score[best].astype(np.int64)})
+
+
+def crowd_pairs(crowds: DataFrame, marks: DataFrame, tried: DataFrame | None, most: int) -> DataFrame:
+    """region, x, y, matches: for each member x of ``crowds`` (region, id, n, component)
+    and meeting the best ``most`` partners of other components that it has not tried.
+
+    ``marks`` is (id, marks), ``tried`` (x, y).
+    """
+    held = marks
+    if tried is None:
+        held = held.withColumn("tried", F.lit(None).cast("array<bigint>"))
+    else:
+        lists = tried.groupBy(F.col("x").alias("id")).agg(F.collect_list("y").alias("tried"))
+        held = held.join(lists, "id", "left")
+    members = _meetings(crowds).join(held, "id")
+    schema = "region bigint, x bigint, y bigint, matches bigint"
+    return members.groupBy("region", "u", "v").applyInArrow(lambda t: meet(t, most), schema)
 
 
 def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -233,10 +373,21 @@ def _packed(docs: DataFrame, marks: np.ndarray) -> DataFrame:
     return read.mapInArrow(pack, "id bigint, packed binary")
 
 
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (id, component) once the components that ``links`` (of_a, of_b)
+    connect are one."""
+    groups = components(links.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+    groups = groups.select(F.col("id").alias("component"), F.col("component").alias("to"))
+    joined = labels.join(groups, "component", "left")
+    return store(joined.select("id", F.coalesce("to", "component").alias("component")), "labels")
+
+
 def linked_groups(docs: DataFrame, sets: DataFrame) -> DataFrame:
     """(id, component) of the ids of ``sets`` that are linked to another one."""
-    left = store(candidates(sets), "candidates")
-    ids = left.select(F.col("a").alias("id")).union(left.select(F.col("b").alias("id"))).distinct()
+    found, crowds = candidates(sets)
+    left = store(found, "candidates")
+    ids = left.select(F.col("a").alias("id")).union(left.select(F.col("b").alias("id")))
+    ids = store(ids.union(crowds.select("id")).distinct(), "ids")
     texts = store(_packed(docs, _marks(ids)).join(ids, "id", "left_semi"), "texts")
     labels = ids.select("id", F.col("id").alias("component"))
     tries = 1
@@ -247,17 +398,32 @@ def linked_groups(docs: DataFrame, sets: DataFrame) -> DataFrame:
         rank = F.row_number().over(Window.partitionBy("b").orderBy(F.col("votes").desc(), "a"))
         left = store(open_pairs.select("a", "b", "votes", "of_a", "of_b", rank.alias("rank")), "candidates")
         if left.isEmpty():
-            return labels.where("component is not null")
+            break
         links = confirm(left.where(F.col("rank") <= tries), texts)
-        joined = links.join(left.select("a", "b", "of_a", "of_b"), ["a", "b"])
-        groups = components(joined.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
-        groups = groups.select(F.col("id").alias("component"), F.col("component").alias("to"))
-        labels = store(
-            labels.join(groups, "component", "left").select("id", F.coalesce("to", "component").alias("component")),
-            "labels",
-        )
+        labels = _joined(labels, links.join(left.select("a", "b", "of_a", "of_b"), ["a", "b"]))
         left = left.where(F.col("rank") > tries).select("a", "b", "votes")
         tries *= 16
+    return crowd_groups(crowds, sets.select("id", "marks"), texts, labels)
+
+
+def crowd_groups(crowds: DataFrame, marks: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:
+    """``labels`` once all similar pairs of ``crowds`` (region, id, n) are linked."""
+    tried, most = None, 4
+    while True:
+        pairs = store(crowd_pairs(crowds.join(labels, "id"), marks, tried, most), "meetings")
+        if pairs.isEmpty():
+            return labels
+        # A region without untried pairs will have none later.
+        crowds = crowds.join(pairs.select("region").distinct(), "region", "left_semi")
+        rank = F.row_number().over(Window.partitionBy("x").orderBy(F.col("matches").desc(), "y"))
+        best = pairs.groupBy("x", "y").agg(F.max("matches").alias("matches")).select("x", "y", rank.alias("rank"))
+        best = store(best.where(F.col("rank") <= most).select("x", "y"), "tries")
+        links = confirm(best.select(*_ordered(F.col("x"), F.col("y"))).distinct(), texts)
+        a = labels.select(F.col("id").alias("a"), F.col("component").alias("of_a"))
+        b = labels.select(F.col("id").alias("b"), F.col("component").alias("of_b"))
+        labels = _joined(labels, links.join(a, "a").join(b, "b"))
+        tried = best if tried is None else store(tried.union(best), "tried")
+        most *= 16
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -269,13 +435,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     drawn = store(sketch(docs), "sketches")
     by_set = drawn.where("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b").agg(
-        F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys")
+        F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"),
+        F.first("marks").alias("marks"),
     )
     by_set = store(by_set, "sets")
-    groups = linked_groups(docs, by_set.select("id", "n", "keys"))
+    groups = linked_groups(docs, by_set.select("id", "n", "keys", "marks"))
     named = by_set.select("set_a", "set_b", "id").join(groups, "id", "left")
     named = named.select("set_a", "set_b", F.coalesce("component", "id").alias("component_id"))
-    rows = drawn.drop("keys").join(named, ["set_a", "set_b"], "left")
+    rows = drawn.drop("keys", "marks").join(named, ["set_a", "set_b"], "left")
     component = F.coalesce("component_id", "doc_id")
     return rows.select(
         "doc_id", "n_shingles", component.alias("component_id"),
