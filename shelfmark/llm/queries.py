@@ -17,6 +17,7 @@ from shelfmark.llm.near_dedup import op7_lsh_forest
 from shelfmark.llm.oracles import ORACLES
 from shelfmark.llm.packing import op4_packing
 from shelfmark.llm.quality import op6_quality
+from shelfmark.llm.repeats import op11_repeats
 from shelfmark.llm.sharding import op10_sharding
 from shelfmark.llm.toxicity import op3_toxicity
 
@@ -32,6 +33,7 @@ _BY_DOCUMENTS = {
     "op8_elias_fano": op8_elias_fano,
     "op9_imatch": op9_imatch,
     "op10_sharding": op10_sharding,
+    "op11_repeats": op11_repeats,
 }
 
 
