@@ -16,10 +16,12 @@ from shelfmark.llm.mixing import op5_mixing
 from shelfmark.llm.near_dedup import op7_lsh_forest
 from shelfmark.llm.oracles import ORACLES
 from shelfmark.llm.packing import op4_packing
+from shelfmark.llm.prefix_trie import op13_prefix_trie
 from shelfmark.llm.quality import op6_quality
 from shelfmark.llm.repeats import op11_repeats
 from shelfmark.llm.sharding import op10_sharding
 from shelfmark.llm.toxicity import op3_toxicity
+from shelfmark.session import ship
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -46,5 +48,11 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_toxicity(spark, documents(spark, sf_dir), labels)
 
 
+def _trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return op13_prefix_trie(spark, spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES = {name: _over_documents(apply) for name, apply in _BY_DOCUMENTS.items()}
 QUERIES["op3_toxicity"] = _toxicity
+QUERIES["op13_prefix_trie"] = _trie
