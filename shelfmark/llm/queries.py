@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfmark.llm.alignment import op12_alignment
 from shelfmark.llm.common import documents
 from shelfmark.llm.elias_fano import op8_elias_fano
 from shelfmark.llm.imatch import op9_imatch
@@ -36,6 +37,7 @@ _BY_DOCUMENTS = {
     "op9_imatch": op9_imatch,
     "op10_sharding": op10_sharding,
     "op11_repeats": op11_repeats,
+    "op12_alignment": op12_alignment,
 }
 
 
