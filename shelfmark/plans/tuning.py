@@ -54,17 +54,19 @@ def tune(vector_pairs: DataFrame, *, share: float = 0.2, seed: int = 42) -> Tune
 def reindex(
     index: Index, encoder: Encoder, tuned: Tuned, path: str, *, lists: int | None = None
 ) -> tuple[int, ReweightedEncoder]:
-    """Write the index in the fitted space, from the vectors it already has.
+    """Write the index in the fitted space, from the vectors it already has. Texts stay
+    where they are, and the new encoder is stored.
 
     Returns the new version and the encoder that queries must use with it.
     """
     if not tuned.improved:
         raise ValueError("the fitted weights did not improve held-out agreement; index kept")
     encoder = ReweightedEncoder(encoder, tuned.weights)
-    vectors = apply_metric(
-        index.items.select("item_id", "item_name", "item_text", "embedding"), tuned.weights
+    vectors = apply_metric(index.items.select("item_id", "embedding"), tuned.weights)
+    version = write_vectors(
+        vectors, path, encoder.model_id, encoder.dim, lists=lists, texts_of=index, encoder=encoder
     )
-    return write_vectors(vectors, path, encoder.model_id, encoder.dim, lists=lists), encoder
+    return version, encoder
 
 
 def judged_vectors(spark: SparkSession, names: Names, encoder: Encoder) -> DataFrame:

@@ -92,7 +92,7 @@ def test_planted_signal_is_found(spark, planted, tmp_path):
     version, tuned_encoder = tuning.reindex(index.read_index(spark, path, encoder), encoder, tuned, path)
     opened = index.read_index(spark, path, tuned_encoder)
     assert (version, opened.version) == (2, 2)
-    rows = {r.item_text: r.embedding for r in opened.items.collect()}
+    rows = {r.item_text: r.embedding for r in opened.with_texts().collect()}
     for text, vector in rows.items():
         np.testing.assert_allclose(vector, tuned_encoder.open()([text])[0], atol=1e-6)
     assert index.read_index(spark, path, encoder, version=1).rows == 2
