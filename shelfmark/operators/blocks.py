@@ -224,9 +224,7 @@ class TopK:
         return rows[at], col, cost[at, col]
 
     def _rounded(self, score: np.ndarray) -> np.ndarray:
-        """Half up, with halves that fell short by rounding error counted as halves."""
-        scale = 10.0**self.digits
-        return np.floor(score * scale + (0.5 + 1e-4)) / scale
+        return rounded(score, self.digits)
 
     def _merge(self, block: slice, row, cost, item) -> None:
         held_row, held_col = np.nonzero(np.isfinite(self.cost[block]))
@@ -257,6 +255,12 @@ class TopK:
         )
 
 
+def rounded(score: np.ndarray, digits: int) -> np.ndarray:
+    """Half up, with halves that fell short by rounding error counted as halves."""
+    scale = 10.0**digits
+    return np.floor(score * scale + (0.5 + 1e-4)) / scale
+
+
 def _lengths(vectors: np.ndarray) -> np.ndarray:
     wide = vectors.astype(np.float64)
     return np.sqrt(np.einsum("nd,nd->n", wide, wide))

@@ -283,6 +283,27 @@ ORACLES = {
     "knn_repeated": f"SELECT query_id % 50 AS query_id, item_id, rank, score FROM ({_KNN_L2})",
     "knn_lists_probe": _probed(4),
     "knn_lists_recall": f"WITH exact AS ({_KNN_L2}) {_RECALL}",
+    "knn_codes": _KNN_L2,
+    "knn_codes_recall": f"""
+  WITH exact AS ({_KNN_L2}),
+  parts AS (
+    SELECT vec_id, unnest(range(16)) AS part,
+           unnest(list_transform(range(16), lambda p: embedding[p * 4 + 1:p * 4 + 4]::DOUBLE[])) AS piece
+    FROM embeddings),
+  coded AS (
+    SELECT i.vec_id, i.part, c.piece AS code,
+           row_number() OVER (PARTITION BY i.vec_id, i.part
+                              ORDER BY list_distance(i.piece, c.piece), c.vec_id) AS place
+    FROM parts i JOIN parts c ON i.part = c.part AND c.vec_id < 16),
+  far AS (
+    SELECT q.vec_id AS query_id, i.vec_id AS item_id, round(sum(pow(list_distance(q.piece, i.code), 2)), 9) AS gap
+    FROM parts q JOIN coded i ON q.part = i.part AND i.place = 1 GROUP BY ALL),
+  named AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY gap, item_id) AS place FROM far)
+  SELECT n.rerank, round(count(*) / (SELECT count(*) FROM exact), 4) AS recall
+  FROM named JOIN exact USING (query_id, item_id)
+  JOIN (SELECT unnest([10, 20, 50])::BIGINT AS rerank) n ON named.place <= n.rerank
+  GROUP BY n.rerank
+""",
     "tuned_search": f"""
   SELECT k.query_id, k.rank, k.item_id AS product_id,
          concat_ws(' ', d.lang, d.source) AS product_name, d.text AS product_description, k.score

@@ -20,12 +20,12 @@ from shelfmark.config import Names
 from shelfmark.functions import text
 from shelfmark.functions.encoders import HashedEncoder
 from shelfmark.functions.requests import decode_requests, encode_request
-from shelfmark.operators import evaluate, lists, metric, nearest, pairs, profile, training
+from shelfmark.operators import codes, evaluate, lists, metric, nearest, pairs, profile, training
 from shelfmark.operators.encode import encode, spread
 from shelfmark.operators.skew import join_counted
 from shelfmark.plans import tuning
 from shelfmark.plans.catalog import load_catalog
-from shelfmark.plans.search import search
+from shelfmark.plans.search import open_search, search
 from shelfmark.session import ensure_checkpoints, new_work_dir, ship
 from shelfmark.sources import files, index, tables
 from shelfmark.streaming.search import read_answers, read_rejected, stream_search
@@ -34,6 +34,8 @@ DIM = 384
 VECTOR_DIM = 64
 LISTS = 16
 PROBES = (1, 4, 8)
+CODE_PARTS = 16
+RERANKED = (10, 20, 50)
 FIXED_WEIGHTS = tuple(1.0 / (1 + d) for d in range(VECTOR_DIM))
 
 
@@ -437,6 +439,41 @@ def knn_lists_recall(spark, sf_dir):
     )
 
 
+def knn_codes(spark, sf_dir):
+    """Codes name what could be among the best, whole vectors rank it."""
+    listed, centroids = _listed(spark, sf_dir)
+    book = codes.fit_codes(listed, centroids)
+    coded = codes.encode_items(listed, book)
+    asked, items = (vectors(spark, sf_dir, c) for c in ("query_id", "item_id"))
+    return codes.knn_codes(asked, coded, items, book)
+
+
+def knn_codes_recall(spark, sf_dir):
+    """Share of the exact results found when so many items of a query are ranked. The
+    parts of the first vectors are the codes, so that what is found needs no fit."""
+    items, asked = (vectors(spark, sf_dir, c) for c in ("item_id", "query_id"))
+    first = items.where(F.col("item_id") < LISTS).orderBy("item_id").collect()
+    given = np.array([r["embedding"] for r in first], np.float64)
+    origin = lists.Centroids(np.zeros((1, VECTOR_DIM), np.float32))
+    book = codes.CodeBook(origin, given.reshape(len(first), CODE_PARTS, -1).transpose(1, 0, 2).copy())
+    coded = codes.encode_items(items.withColumn("list_id", F.lit(0).cast("bigint")), book)
+    ensure_checkpoints(spark)
+    coded = coded.checkpoint()
+    exact = _self_search(spark, sf_dir).select("query_id", "item_id")
+    found = None
+    for rerank in RERANKED:
+        part = codes.knn_codes(asked, coded, items, book, rerank=rerank)
+        part = part.select("query_id", "item_id", F.lit(rerank).cast("bigint").alias("rerank"))
+        found = part if found is None else found.unionByName(part)
+    total = exact.agg(F.count(F.lit(1)))
+    return (
+        found.join(exact, ["query_id", "item_id"], "left_semi")
+        .groupBy("rerank")
+        .agg(F.count(F.lit(1)).alias("hits"))
+        .select("rerank", F.round(F.col("hits") / total.scalar(), 4).alias("recall"))
+    )
+
+
 # --- encode, index and search ----------------------------------------------
 
 
@@ -482,15 +519,15 @@ def semantic_search_lists(spark, sf_dir):
 
 
 def tuned_search(spark, sf_dir):
-    """Search of an index moved to a weighted space, no text encoded again."""
+    """Search of an index moved to a weighted space, no text encoded again; opened by its
+    path alone."""
     encoder = HashedEncoder(DIM)
     path = new_work_dir(spark, "index")
     index.write_index(document_items(spark, sf_dir), path, encoder)
     weights = tuple(1.0 / (1 + d) for d in range(DIM))
     tuned = tuning.Tuned(weights, None, True)
-    version, moved = tuning.reindex(index.read_index(spark, path, encoder), encoder, tuned, path)
-    opened = index.read_index(spark, path, moved, version=version)
-    return search(benchmark_queries(spark, sf_dir), opened, moved)
+    tuning.reindex(index.read_index(spark, path, encoder), encoder, tuned, path)
+    return open_search(spark, path)(benchmark_queries(spark, sf_dir))
 
 
 # --- requests and streaming ------------------------------------------------
@@ -578,6 +615,8 @@ QUERIES = {
     "knn_repeated": knn_repeated,
     "knn_lists_probe": knn_lists_probe,
     "knn_lists_recall": knn_lists_recall,
+    "knn_codes": knn_codes,
+    "knn_codes_recall": knn_codes_recall,
     "encode_hashed": encode_hashed,
     "index_roundtrip": index_roundtrip,
     "semantic_search": semantic_search,
