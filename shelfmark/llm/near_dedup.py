@@ -6,8 +6,8 @@ the signatures in one of these orders is a tree of the forest, and documents wit
 long common prefix are its neighbours. A region of a tree is what shares a prefix.
 Its depth adapts to how crowded it is: up to ``CROWD`` sets, all of them are
 candidates for each other; beyond, each is a candidate for the region's first set and
-the region is split by a longer prefix. At full depth a crowd is linked along its
-sizes. That gives a crowd its first links only: see Crowds.
+the region is split by a longer prefix. At full depth each set is a candidate for the
+first one of about its size. That gives a crowd its first links only: see Crowds.
 
 Equal sets are one set from the start. Candidates are confirmed on the full sets, in
 rounds: each set tries the partners that most trees agree on, and pairs that are
@@ -22,10 +22,11 @@ are more selective, but hold more partners.
 Crowds. What the candidates have not connected in a region of the first depth is
 compared whole: its members are dealt into blocks by their group so far, and every
 block meets every other, except blocks of one group. A meeting compares signatures, a
-byte of each of their values, and names pairs of different groups of which ``MATCHES``
-bytes agree; of two sets of similarity 0.8 in a region, 3 in 10 million fall short of
-that. Each set's best pairs are confirmed on the full sets, then the next best,
-until no pair is left that has not been tried.
+byte of each of their values, and names the members of which ``MATCHES`` bytes agree
+with one of another group; of two sets of similarity 0.8 in a region, 3 in 10 million
+fall short of that. The texts of these members then meet: all their intersections are
+counted at once, and a spanning forest of the links found goes on, so a meeting returns
+fewer links than it has members, and each is compared once.
 """
 
 from __future__ import annotations
@@ -188,11 +189,12 @@ def candidates(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
         live = crowded.drop("held", "head")
         if level == 0:
             crowds = live.select(F.col(key).alias("region"), "id", "n")
-    along = Window.partitionBy(key).orderBy("n", "id")
-    for step in range(1, 5):
-        beside = live.select("id", "n", F.lag("id", step).over(along).alias("o"), F.lag("n", step).over(along).alias("m"))
-        beside = beside.where(F.col("o").isNotNull() & _sizes_allow(F.col("n"), F.col("m")))
-        found.append(beside.select(*_ordered(F.col("id"), F.col("o"))))
+    # At full depth each set is a candidate for the first one of about its size.
+    alike = live.withColumn("size", F.floor(F.log("n") * 20))
+    heads = alike.groupBy(key, "size").agg(F.min(F.struct("id", "n")).alias("head"))
+    beside = alike.join(heads, [key, "size"]).where("head.id <> id")
+    beside = beside.where(_sizes_allow(F.col("n"), F.col("head.n")))
+    found.append(beside.select(*_ordered(F.col("head.id"), F.col("id"))))
     pairs = reduce(DataFrame.union, found)
     return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("votes")), crowds
 
@@ -249,75 +251,154 @@ def _meetings(crowds: DataFrame) -> DataFrame:
     return placed.join(met, ["region", "block"]).drop("block")
 
 
-def _best(x: np.ndarray, y: np.ndarray, score: np.ndarray, most: int) -> np.ndarray:
-    """Which pairs (x, y) are among the ``most`` of their x with the highest score."""
-    order = np.lexsort((y, -score.astype(np.int64), x))
-    places = np.arange(len(order))
-    starts = np.r_[True, np.diff(x[order]) != 0] if len(order) else np.zeros(0, bool)
-    return order[places - np.maximum.accumulate(np.where(starts, places, 0)) < most]
-
-
-def _side(table: pa.Table) -> dict[str, np.ndarray]:
-    found = {c: table.column(c).to_numpy() for c in ("id", "n", "component")}
-    marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8)
-    tried = table.column("tried").to_pylist()
-    return found | {
-        "marks": np.ascontiguousarray(marks.reshape(-1, TREES * STEP).T),
-        "tried_by": np.repeat(np.arange(len(tried)), [len(t or ()) for t in tried]),
-        "tried": np.array([i for t in tried for i in t or ()], np.int64),
-    }
+def _sides(table: pa.Table) -> tuple[pa.Table, pa.Table, bool]:
+    """The two blocks of a meeting; a block that meets itself is both."""
+    sides = table.column("side").to_numpy()
+    left = table.filter(pa.array(sides == 0))
+    if not (sides == 1).any():
+        return left, left, True
+    return left, table.filter(pa.array(sides == 1)), False
 
 
-def _tried(one: dict[str, np.ndarray], other: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Places in ``one`` and ``other`` of the pairs that ``one`` has tried."""
-    order = np.argsort(other["id"])
-    at = np.minimum(np.searchsorted(other["id"], one["tried"], sorter=order), len(order) - 1)
-    held = other["id"][order[at]] == one["tried"]
-    return one["tried_by"][held], order[at][held]
+def _open(left: pa.Table, right: pa.Table) -> np.ndarray:
+    """Pairs of different components whose sizes allow a link."""
+    (n, m), (ours, theirs) = (
+        [side.column(c).to_numpy() for side in (left, right)] for c in ("n", "component")
+    )
+    smaller, larger = np.minimum.outer(n, m), np.maximum.outer(n, m)
+    return (ours[:, None] != theirs[None, :]) & (smaller * 100 >= larger * SIMILAR_PERCENT)
+
+
+def name_candidates(table: pa.Table) -> pa.Table:
+    """The members of a meeting that agree with one of another component in ``MATCHES``
+    values of the signature: meeting, side, id, n, component."""
+    left, right, itself = _sides(table)
+    chosen_left, chosen_right = np.zeros(len(left), bool), np.zeros(len(right), bool)
+    if len(left) and len(right):
+        pairs = _open(left, right)
+        ours, theirs = (
+            np.ascontiguousarray(np.frombuffer(b"".join(side.column("marks").to_pylist()), np.uint8).reshape(-1, TREES * STEP).T)
+            for side in (left, right)
+        )
+        for first in range(0, len(left), 128):
+            matches = np.zeros((len(left.slice(first, 128)), len(right)), np.uint8)
+            for one, other in zip(ours, theirs):
+                matches += one[first : first + 128, None] == other[None, :]
+            near = (matches >= MATCHES) & pairs[first : first + 128]
+            chosen_left[first : first + 128] = near.any(axis=1)
+            chosen_right |= near.any(axis=0)
+    named = left.filter(pa.array(chosen_left))
+    if not itself:
+        named = pa.concat_tables([named, right.filter(pa.array(chosen_right))])
+    return named.select(["meeting", "side", "id", "n", "component"])
 
 
-def meet(table: pa.Table, most: int) -> pa.Table:
-    """The best ``most`` pairs of each member of a meeting: region, x, y, matches."""
-    sides = table.column("side").to_numpy()
-    left = _side(table.filter(pa.array(sides == 0)))
-    itself = not (sides == 1).any()
-    right = left if itself else _side(table.filter(pa.array(sides == 1)))
-    found = []
-    if len(left["id"]) and len(right["id"]):
-        open_pairs = left["component"][:, None] != right["component"][None, :]
-        open_pairs[_tried(left, right)] = False
-        open_pairs[_tried(right, left)[::-1]] = False
-        smaller = np.minimum(left["n"][:, None], right["n"][None, :])
-        open_pairs &= smaller * 100 >= np.maximum(left["n"][:, None], right["n"][None, :]) * SIMILAR_PERCENT
-        for first in range(0, len(left["id"]), 128):
-            matches = np.zeros((len(left["id"][first : first + 128]), len(right["id"])), np.uint8)
-            for ours, theirs in zip(left["marks"], right["marks"]):
-                matches += ours[first : first + 128, None] == theirs[None, :]
-            i, j = np.nonzero((matches >= MATCHES) & open_pairs[first : first + 128])
-            found.append((left["id"][first + i], right["id"][j], matches[i, j]))
-    x, y, score = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
-    if not itself:
-        x, y, score = np.r_[x, y], np.r_[y, x], np.r_[score, score]
-    best = _best(x, y, score, most)
-    regions = np.full(len(best), table.column("region")[0].as_py(), np.int64)
-    return pa.table({"region": regions, "x": x[best], "y": y[best], "matches": score[best].astype(np.int64)})
+#: Sets that hold a shingle, from which on it is counted by a matrix product.
+COMMON = 16
 
 
-def crowd_pairs(crowds: DataFrame, marks: DataFrame, tried: DataFrame | None, most: int) -> DataFrame:
-    """region, x, y, matches: for each member x of ``crowds`` (region, id, n, component)
-    and meeting the best ``most`` partners of other components that it has not tried.
+def overlaps(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``left`` with all of ``right``, or with
+    each other.
 
-    ``marks`` is (id, marks), ``tried`` (x, y).
+    Shingles that the same sets hold are one column that counts for all of them: what
+    most members share costs little, however long it is. Columns of many sets are
+    multiplied, those of few are added up pair by pair.
     """
-    held = marks
-    if tried is None:
-        held = held.withColumn("tried", F.lit(None).cast("array<bigint>"))
-    else:
-        lists = tried.groupBy(F.col("x").alias("id")).agg(F.collect_list("y").alias("tried"))
-        held = held.join(lists, "id", "left")
-    members = _meetings(crowds).join(held, "id")
-    schema = "region bigint, x bigint, y bigint, matches bigint"
-    return members.groupBy("region", "u", "v").applyInArrow(lambda t: meet(t, most), schema)
+    sets = left + (right or [])
+    n = len(left)
+    # Where the other side's members begin.
+    other_from = n if right else 0
+    m = len(sets) - other_from
+    found = np.zeros((n, m), np.float32)
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    flat, member = flat[order], np.repeat(np.arange(len(sets)), [len(x) for x in sets])[order]
+    starts = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
+    held = np.diff(np.r_[starts, len(flat)])
+    starts, held = starts[held > 1], held[held > 1]
+    if not len(starts):
+        return found.astype(np.int64)
+    at = np.repeat(starts - (np.cumsum(held) - held), held) + np.arange(held.sum())
+    member, column = member[at], np.repeat(np.arange(len(starts)), held)
+    draws = np.random.default_rng(5).integers(0, 1 << 63, (len(sets), 2), dtype=np.uint64)
+    names = np.stack([np.add.reduceat(draws[member, i], np.cumsum(held) - held) for i in (0, 1)], axis=1)
+    _, first, which, times = np.unique(names, axis=0, return_index=True, return_inverse=True, return_counts=True)
+    kept = np.zeros(len(starts), bool)
+    kept[first] = True
+    weight = times[which.ravel()].astype(np.float32)
+    common = held >= COMMON
+    for columns, multiplied in ((kept & common, True), (kept & ~common, False)):
+        number = np.cumsum(columns) - 1
+        rows = columns[column]
+        of, who, weights = number[column[rows]], member[rows], weight[columns]
+        one, other = who < n, who >= other_from
+        (i, of_i), (j, of_j) = (who[one], of[one]), (who[other] - other_from, of[other])
+        if multiplied:
+            for start in range(0, len(weights), 4096):
+                width = min(4096, len(weights) - start)
+                sides = []
+                for size, places, at in ((n, i, of_i), (m, j, of_j)):
+                    here = (at >= start) & (at < start + width)
+                    side = np.zeros((size, width), np.float32)
+                    side[places[here], at[here] - start] = 1
+                    sides.append(side)
+                found += (sides[0] * weights[start : start + width]) @ sides[1].T
+        elif len(weights):
+            others = np.bincount(of_j, minlength=len(weights))
+            repeated = others[of_i]
+            nth = np.arange(repeated.sum()) - np.repeat(np.cumsum(repeated) - repeated, repeated)
+            met = j[np.repeat((np.cumsum(others) - others)[of_i], repeated) + nth]
+            np.add.at(found, (np.repeat(i, repeated), met), np.repeat(weights[of_i], repeated))
+    return np.rint(found).astype(np.int64)
+
+
+def spanning_forest(linked: np.ndarray, itself: bool) -> list[tuple[int, int]]:
+    """Links that connect all that ``linked`` connects, fewer than there are members."""
+    n = len(linked)
+    seen = np.zeros(n if itself else n + linked.shape[1], bool)
+    links = []
+    for first in np.flatnonzero(linked.any(axis=1)).tolist():
+        if seen[first]:
+            continue
+        seen[first] = True
+        waiting = [first]
+        while waiting:
+            i = waiting.pop()
+            if itself:
+                new = np.flatnonzero(linked[i] & ~seen)
+            elif i < n:
+                new = np.flatnonzero(linked[i] & ~seen[n:]) + n
+            else:
+                new = np.flatnonzero(linked[:, i - n] & ~seen[:n])
+            seen[new] = True
+            waiting += new.tolist()
+            links += [(i, j) if itself or i < n else (j, i) for j in new.tolist()]
+    return links if itself else [(i, j - n) for i, j in links]
+
+
+def confirm_meeting(table: pa.Table) -> pa.Table:
+    """Links of a meeting's members by their full sets, as a spanning forest: a, b, of_a,
+    of_b (their components)."""
+    left, right, itself = _sides(table)
+    found = []
+    if len(left) and len(right):
+        shingler, unpacker = Shingler(), zstandard.ZstdDecompressor()
+        ours, theirs = (
+            [shingler.shingles(unpacker.decompress(x).decode()) for x in side.column("packed").to_pylist()]
+            for side in (left, right)
+        )
+        both = overlaps(ours, None if itself else theirs)
+        either = left.column("n").to_numpy()[:, None] + right.column("n").to_numpy()[None, :] - both
+        linked = _open(left, right) & (both * 100 >= SIMILAR_PERCENT * either)
+        found = spanning_forest(linked, itself)
+    one, other = (np.array([x[i] for x in found], np.int64) for i in (0, 1))
+    return pa.table(
+        {
+            "a": left.column("id").to_numpy()[one], "b": right.column("id").to_numpy()[other],
+            "of_a": left.column("component").to_numpy()[one], "of_b": right.column("component").to_numpy()[other],
+        }
+    )
 
 
 def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -407,23 +488,20 @@ def linked_groups(docs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def crowd_groups(crowds: DataFrame, marks: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:
-    """``labels`` once all similar pairs of ``crowds`` (region, id, n) are linked."""
-    tried, most = None, 4
-    while True:
-        pairs = store(crowd_pairs(crowds.join(labels, "id"), marks, tried, most), "meetings")
-        if pairs.isEmpty():
-            return labels
-        # A region without untried pairs will have none later.
-        crowds = crowds.join(pairs.select("region").distinct(), "region", "left_semi")
-        rank = F.row_number().over(Window.partitionBy("x").orderBy(F.col("matches").desc(), "y"))
-        best = pairs.groupBy("x", "y").agg(F.max("matches").alias("matches")).select("x", "y", rank.alias("rank"))
-        best = store(best.where(F.col("rank") <= most).select("x", "y"), "tries")
-        links = confirm(best.select(*_ordered(F.col("x"), F.col("y"))).distinct(), texts)
-        a = labels.select(F.col("id").alias("a"), F.col("component").alias("of_a"))
-        b = labels.select(F.col("id").alias("b"), F.col("component").alias("of_b"))
-        labels = _joined(labels, links.join(a, "a").join(b, "b"))
-        tried = best if tried is None else store(tried.union(best), "tried")
-        most *= 16
+    """``labels`` once all similar pairs of ``crowds`` (region, id, n) are linked.
+
+    A meeting first names the members that have a candidate, then gets their texts and
+    links them: both return one row a member at most.
+    """
+    met = _meetings(crowds.join(labels, "id")).select(
+        F.xxhash64("region", "u", "v").alias("meeting"), "side", "id", "n", "component"
+    )
+    schema = "meeting bigint, side int, id bigint, n bigint, component bigint"
+    named = store(met.join(marks, "id").groupBy("meeting").applyInArrow(name_candidates, schema), "meetings")
+    links = named.join(texts, "id").groupBy("meeting").applyInArrow(
+        confirm_meeting, "a bigint, b bigint, of_a bigint, of_b bigint"
+    )
+    return _joined(labels, links)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
