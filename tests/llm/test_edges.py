@@ -3,7 +3,7 @@
 import pytest
 
 import corpus_pipeline
-from shelfmark.llm import elias_fano, imatch, license_scan, line_dedup, mixing, near_dedup, packing, quality, sharding, toxicity
+from shelfmark.llm import alignment, elias_fano, imatch, license_scan, line_dedup, mixing, near_dedup, packing, quality, repeats, sharding, toxicity
 
 ROWS = 16
 OPERATORS = {
@@ -18,6 +18,8 @@ OPERATORS = {
     "op8": elias_fano.op8_elias_fano,
     "op9": imatch.op9_imatch,
     "op10": sharding.op10_sharding,
+    "op11": repeats.op11_repeats,
+    "op12": alignment.op12_alignment,
 }
 
 
