@@ -292,11 +292,13 @@ def search_cells(
     *,
     digits: int = config.SCORE_DIGITS,
     cell_rows: int = config.CELL_ROWS,
+    few_lists: bool = True,
 ) -> DataFrame:
     """Compare each query with the items of the lists it visits.
 
     Lists are cut so that no cell holds many more than ``cell_rows`` rows of
-    either side; the other side is copied to each part.
+    either side; the other side is copied to each part. ``few_lists`` says that a row for
+    each list fits a broadcast.
     """
 
     def parts(rows: DataFrame, name: str) -> DataFrame:
@@ -304,9 +306,9 @@ def search_cells(
         return rows.groupBy("list_id").agg(size.alias(name))
 
     # One row per list: bounded by the number of centroids.
-    cut = F.broadcast(
-        parts(listed, "item_parts").join(parts(visits, "query_parts"), "list_id")
-    )
+    cut = parts(listed, "item_parts").join(parts(visits, "query_parts"), "list_id")
+    if few_lists:
+        cut = F.broadcast(cut)
 
     def spread(rows: DataFrame, id_col: str, own: str, other: str) -> DataFrame:
         count = F.col(f"{own}_parts").cast("bigint")

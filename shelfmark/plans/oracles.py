@@ -283,6 +283,7 @@ ORACLES = {
     "knn_repeated": f"SELECT query_id % 50 AS query_id, item_id, rank, score FROM ({_KNN_L2})",
     "knn_lists_probe": _probed(4),
     "knn_lists_recall": f"WITH exact AS ({_KNN_L2}) {_RECALL}",
+    "knn_tree": _KNN_L2,
     "knn_codes": _KNN_L2,
     "knn_codes_recall": f"""
   WITH exact AS ({_KNN_L2}),

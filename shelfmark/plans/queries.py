@@ -20,7 +20,7 @@ from shelfmark.config import Names
 from shelfmark.functions import text
 from shelfmark.functions.encoders import HashedEncoder
 from shelfmark.functions.requests import decode_requests, encode_request
-from shelfmark.operators import codes, evaluate, lists, metric, nearest, pairs, profile, training
+from shelfmark.operators import codes, evaluate, lists, metric, nearest, pairs, profile, training, tree
 from shelfmark.operators.encode import encode, spread
 from shelfmark.operators.skew import join_counted
 from shelfmark.plans import tuning
@@ -34,6 +34,7 @@ DIM = 384
 VECTOR_DIM = 64
 LISTS = 16
 PROBES = (1, 4, 8)
+LEAVES = 64
 CODE_PARTS = 16
 RERANKED = (10, 20, 50)
 FIXED_WEIGHTS = tuple(1.0 / (1 + d) for d in range(VECTOR_DIM))
@@ -439,6 +440,13 @@ def knn_lists_recall(spark, sf_dir):
     )
 
 
+def knn_tree(spark, sf_dir):
+    """Exact search through a tree of lists, whose leaves are never held in one place."""
+    fitted, held = tree.fit_tree(vectors(spark, sf_dir, "item_id"), LEAVES)
+    listed = tree.assign_leaves(held, fitted).checkpoint()
+    return tree.knn_tree(vectors(spark, sf_dir, "query_id"), listed, fitted)
+
+
 def knn_codes(spark, sf_dir):
     """Codes name what could be among the best, whole vectors rank it."""
     listed, centroids = _listed(spark, sf_dir)
@@ -615,6 +623,7 @@ QUERIES = {
     "knn_repeated": knn_repeated,
     "knn_lists_probe": knn_lists_probe,
     "knn_lists_recall": knn_lists_recall,
+    "knn_tree": knn_tree,
     "knn_codes": knn_codes,
     "knn_codes_recall": knn_codes_recall,
     "encode_hashed": encode_hashed,
