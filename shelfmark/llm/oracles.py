@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import license_scan, line_dedup, near_dedup, quality
+from shelfmark.llm import license_scan, line_dedup, near_dedup, prefix_trie, quality, repeats
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _SPACED = r"[^\x20\x09-\x0D]+"
@@ -15,33 +15,51 @@ def _quoted(values) -> str:
 def _line_dedup() -> str:
     s = line_dedup.Settings()
     return rf"""
-WITH rows AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+WITH RECURSIVE rows AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
 line AS (SELECT doc_id, unnest(range(len(lines))) AS line, unnest(lines) AS words FROM rows),
 parsed AS (
   SELECT doc_id, line,
     regexp_extract_all(regexp_replace(words, '[^ \t-\r]*[0-9][^ \t-\r]*', '{line_dedup.WILD}', 'g'),
                        '{_SPACED}') AS tokens
   FROM line),
-long AS (SELECT *, len(tokens) AS n, tokens[1:{s.depth}] AS lead FROM parsed
-  WHERE len(tokens) >= {s.min_tokens}
+said AS (SELECT *, len(tokens) AS n, tokens[1:{s.depth}] AS lead FROM parsed
+  WHERE len(tokens) > 0
     AND len(list_filter(tokens, lambda t: t <> '{line_dedup.WILD}')) >= {s.constant} * len(tokens)),
-shapes AS (SELECT n, lead, tokens, count(*) AS c, min({{'d': doc_id, 'l': line}}) AS place FROM long GROUP BY ALL),
-models AS (
-  SELECT n, lead, tokens AS model FROM shapes
-  QUALIFY row_number() OVER (PARTITION BY n, lead ORDER BY c DESC, place) = 1),
-merged AS (
-  SELECT n, lead, tokens,
-    len(list_filter(range(1, n + 1), lambda i: tokens[i] = model[i])) >= {s.similarity} * n AS shared
-  FROM shapes JOIN models USING (n, lead)),
+shapes AS (
+  SELECT n, lead, tokens, row_number() OVER (ORDER BY count(*) DESC, min({{'d': doc_id, 'l': line}})) AS rank,
+    n - ceil({s.similarity} * n)::INT + 1 AS bands
+  FROM said WHERE n >= {s.min_tokens} GROUP BY n, lead, tokens),
+banded AS (
+  SELECT *, unnest(range(bands)) AS band, tokens[{s.depth + 1}:] AS rest FROM shapes),
+keyed AS (
+  SELECT n, lead, tokens, rank, band,
+    list_filter(rest, lambda t, i: (i - 1) % bands = band) AS held FROM banded
+  UNION ALL
+  SELECT n, lead, tokens, rank, -band - 1, list_filter(rest, lambda t, i: (i - 1) % bands <> band)
+  FROM banded WHERE bands > 2),
+heads AS (
+  SELECT tokens, rank, min(rank) OVER (PARTITION BY n, lead, band, held) AS head FROM keyed),
+met AS (SELECT DISTINCT tokens, rank, head FROM heads WHERE head < rank),
+up AS (
+  SELECT met.rank, min(met.head) AS head FROM met JOIN shapes m ON m.rank = met.head
+  WHERE len(list_filter(range(1, m.n + 1), lambda i: met.tokens[i] = m.tokens[i])) >= {s.similarity} * m.n
+  GROUP BY met.rank),
+chase AS (
+  SELECT rank, head FROM up
+  UNION ALL
+  SELECT chase.rank, up.head FROM chase JOIN up ON chase.head = up.rank),
+roots AS (SELECT rank, min(head) AS root FROM chase GROUP BY rank),
 placed AS (
-  SELECT doc_id, line, n, lead, CASE WHEN shared THEN NULL ELSE tokens END AS own
-  FROM long JOIN merged USING (n, lead, tokens)),
+  SELECT doc_id, line, s.n, coalesce(root, shapes.rank) AS template, CASE WHEN shapes.rank IS NULL THEN s.tokens END AS short
+  FROM said s LEFT JOIN shapes ON s.n = shapes.n AND s.lead = shapes.lead AND s.tokens = shapes.tokens
+  LEFT JOIN roots USING (rank)),
 recurring AS (
-  SELECT n, lead, own, min({{'d': doc_id, 'l': line}}) AS first FROM placed
-  GROUP BY n, lead, own HAVING count(DISTINCT doc_id) >= {s.min_documents}),
+  SELECT template, short, min({{'d': doc_id, 'l': line}}) AS first FROM placed
+  GROUP BY template, short
+  HAVING count(DISTINCT doc_id) >= CASE WHEN min(n) < {s.min_tokens} THEN {s.short_documents} ELSE {s.min_documents} END),
 drops AS (
   SELECT p.doc_id, list(p.line) AS dropped FROM placed p
-  JOIN recurring r ON p.n = r.n AND p.lead = r.lead AND p.own IS NOT DISTINCT FROM r.own
+  JOIN recurring r ON p.template IS NOT DISTINCT FROM r.template AND p.short IS NOT DISTINCT FROM r.short
   WHERE {{'d': p.doc_id, 'l': p.line}} <> r.first GROUP BY p.doc_id),
 cut AS (
   SELECT doc_id, len(lines) AS n_lines, coalesce(len(dropped), 0) AS n_dropped,
@@ -159,9 +177,87 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 FROM groups LEFT JOIN n USING (doc_id)"""
 
 
+def _repeats() -> str:
+    n = repeats.WINDOW
+    return rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS said FROM documents),
+sized AS (SELECT *, length(said) // 2 AS n_bytes FROM texts),
+-- In pieces of 500 bytes and what their last window needs: cutting near the end of a long text is slow.
+numbers AS (SELECT row, said, unnest(range((n_bytes + 499) // 500)) AS piece FROM sized WHERE n_bytes >= {n}),
+pieces AS (SELECT row, piece, said[1000 * piece + 1:1000 * piece + {1000 + 2 * n - 2}] AS said FROM numbers),
+starts AS (SELECT row, piece, said, unnest(range(least(500, length(said) // 2 - {n - 1}))) AS i FROM pieces),
+windows AS (SELECT row, 500 * piece + i AS i, md5_number(said[2 * i + 1:2 * i + {2 * n}]) AS part FROM starts),
+again AS (SELECT part FROM windows GROUP BY part HAVING count(*) > 1),
+covered AS (
+  SELECT row, i, i > coalesce(lag(i) OVER (PARTITION BY row ORDER BY i), -{n} - 1) + {n} AS opens
+  FROM windows SEMI JOIN again USING (part)),
+numbered AS (SELECT row, i, sum(opens::INT) OVER (PARTITION BY row ORDER BY i) AS span FROM covered),
+spans AS (SELECT row, min(i) AS first, max(i) + {n} AS last FROM numbered GROUP BY row, span),
+gaps AS (
+  SELECT row, coalesce(lag(last) OVER (PARTITION BY row ORDER BY first), 0) AS first, first AS last FROM spans
+  UNION ALL SELECT row, max(last), NULL FROM spans GROUP BY row),
+kept AS (
+  SELECT row, string_agg(said[2 * first + 1:2 * coalesce(last, n_bytes)], '' ORDER BY first) AS said
+  FROM gaps JOIN sized USING (row) GROUP BY row),
+removed AS (SELECT row, sum(last - first)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY row)
+SELECT doc_id, n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept.said, sized.said))) AS kept_sha256
+FROM sized LEFT JOIN removed USING (row) LEFT JOIN kept USING (row)"""
+
+
+def _trie() -> str:
+    t = prefix_trie
+    return rf"""
+WITH said AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+counted AS (SELECT conv_id, conv_id::VARCHAR AS digits, count(*) AS own FROM said GROUP BY conv_id),
+crc AS (
+  SELECT conv_id, own, conv_id - conv_id % {t.FAMILY} AS first,
+    xor(list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(range(1, length(digits) + 1), lambda i: ascii(digits[i])::BIGINT)),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END)), 4294967295::BIGINT)
+      % {t.TAKEN} AS h
+  FROM counted),
+convs AS (
+  SELECT c.conv_id, c.first, c.h, least(c.h, coalesce(f.own, 0)) AS m
+  FROM crc c LEFT JOIN counted f ON f.conv_id = c.first),
+rebuilt AS (
+  SELECT c.conv_id, s.place, s.role, s.text FROM convs c JOIN said s ON s.conv_id = c.first AND s.place < c.h
+  UNION ALL
+  SELECT c.conv_id, c.m + s.place - c.h, s.role, s.text
+  FROM convs c JOIN said s ON s.conv_id = c.conv_id AND s.place >= c.h),
+below AS (
+  SELECT conv_id, place + 1 AS depth, strlen(text) AS bytes,
+    md5(string_agg(md5(role) || md5(text), '') OVER (PARTITION BY conv_id ORDER BY place)) AS node FROM rebuilt),
+members AS (
+  SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS parent,
+    max(depth) OVER (PARTITION BY conv_id) AS length
+  FROM (SELECT conv_id, depth, bytes, node FROM below UNION ALL SELECT conv_id, 0, 0, '' FROM convs)),
+grouped AS (
+  SELECT node, min(conv_id) AS conv_id, min(depth) AS depth, min(parent) AS parent, count(*) AS n_convs, min(bytes) AS bytes,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE depth = length), '')) AS ends_sha256
+  FROM members GROUP BY node),
+children AS (SELECT parent AS node, count(*) AS n FROM grouped WHERE parent IS NOT NULL GROUP BY parent),
+nodes AS (
+  SELECT g.*, coalesce(c.n, 0) AS n_children, (g.n_convs - 1) * g.bytes AS saved
+  FROM grouped g LEFT JOIN children c USING (node)),
+sums AS (
+  SELECT a.node, sum(CASE WHEN w.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(w.saved) AS saved_tokens
+  FROM nodes w JOIN members a ON a.conv_id = w.conv_id AND a.depth <= w.depth GROUP BY a.node)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
+  s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s USING (node) LEFT JOIN nodes p ON p.node = n.parent"""
+
+
 ORACLES = {
     "op1_line_dedup": _line_dedup(),
     "op2_license_scan": _license_scan(),
     "op6_quality": _quality(),
     "op7_lsh_forest": _near(),
+    "op11_repeats": _repeats(),
+    "op13_prefix_trie": _trie(),
 }

@@ -1,5 +1,6 @@
 """Quality rules, licence scan and line templates against plain Python."""
 
+import math
 import re
 from collections import Counter
 
@@ -83,26 +84,63 @@ def templates_in_python(texts, settings):
                 "<*>" if re.search("[0-9]", t) else t for t in re.findall(r"[^ \t-\r]+", line)
             )
             constant = sum(t != "<*>" for t in tokens)
-            if len(tokens) >= settings.min_tokens and constant >= settings.constant * len(tokens):
+            if tokens and constant >= settings.constant * len(tokens):
                 lines.append((doc_id, number, tokens))
-    leaves = {}
+    shapes = {}
     for doc_id, number, tokens in lines:
-        leaf = leaves.setdefault((len(tokens), tokens[: settings.depth]), {})
-        leaf.setdefault(tokens, []).append((doc_id, number))
+        shapes.setdefault(tokens, []).append((doc_id, number))
+    order = {s: i for i, s in enumerate(sorted(shapes, key=lambda s: (-len(shapes[s]), shapes[s][0])))}
+    meetings = {}
+    for shape in shapes:
+        n = len(shape)
+        if n >= settings.min_tokens:
+            bands = n - math.ceil(settings.similarity * n) + 1
+            rest = list(enumerate(shape[settings.depth :]))
+            for band in range(bands):
+                for inside in (True, False) if bands > 2 else (True,):
+                    held = tuple(t for i, t in rest if (i % bands == band) == inside)
+                    meetings.setdefault((n, shape[: settings.depth], band, inside, held), []).append(shape)
+    up = {}
+    for members in meetings.values():
+        head = min(members, key=order.get)
+        for shape in members:
+            alike = sum(a == b for a, b in zip(shape, head))
+            if shape != head and alike >= settings.similarity * len(head):
+                up[shape] = min(up.get(shape, head), head, key=order.get)
     found = {}
-    for key, shapes in leaves.items():
-        model = min(shapes, key=lambda s: (-len(shapes[s]), shapes[s][0]))
-        for shape, places in shapes.items():
-            alike = sum(a == b for a, b in zip(shape, model))
-            name = key if alike >= settings.similarity * len(model) else shape
-            found.setdefault(name, []).extend(places)
+    for shape, places in shapes.items():
+        while shape in up:
+            shape = up[shape]
+        found.setdefault(shape, []).extend(places)
     dropped = set()
-    for places in found.values():
-        if len({d for d, _ in places}) >= settings.min_documents:
+    for shape, places in found.items():
+        least = settings.min_documents if len(shape) >= settings.min_tokens else settings.short_documents
+        if len({d for d, _ in places}) >= least:
             dropped |= set(places) - {min(places)}
     return dropped
 
 
+def dropped_by_spark(spark, texts):
+    got = line_dedup.drop_recurring_lines(documents(spark, texts)).collect()
+    return {r["row"]["doc_id"]: r["n_dropped"] for r in got}
+
+
+def test_a_leaf_holds_several_templates(spark):
+    names = [f"{a}{b}{c}" for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyz"[:3]]
+    family = [f"posted by the editor {name} this morning" for name in names]
+    other = ["posted by the staff of our newsroom"] * 2
+    for texts in (family, family + other, other + family):
+        dropped = dropped_by_spark(spark, texts)
+        assert sum(dropped.values()) == len(names) - 1
+        assert templates_in_python(texts, line_dedup.Settings()) == {(d, 0) for d, n in dropped.items() if n}
+
+
+def test_short_lines_go_by_a_higher_count(spark):
+    texts = [f"{prose(i, 20)}\nAll rights reserved." + "\nThe end" * (i < 19) for i in range(25)]
+    dropped = dropped_by_spark(spark, texts)
+    assert dropped == {i: int(i > 0) for i in range(25)}
+
+
 def test_line_templates(spark):
     texts = []
     for i in range(30):
