@@ -260,6 +260,28 @@ ORACLES = {
   SELECT model, held_out, count(*) AS pairs, round(avg(cosine), 4) AS mean_cosine,
          round(corr(cosine, score), 4) AS correlation
   FROM scored WHERE cosine IS NOT NULL AND score IS NOT NULL GROUP BY model, held_out
+""",
+    "projection_step": f"""
+  WITH map AS (
+    SELECT list_transform(range(4), lambda i:
+      list_transform(range(64), lambda j: 1.0::DOUBLE / (1 + (i * 7 + j) % 11))) AS m),
+  moved AS (
+    SELECT q, p, score, list_transform(m, lambda r: list_inner_product(r, q)) AS a,
+           list_transform(m, lambda r: list_inner_product(r, p)) AS b
+    FROM ({_JUDGED_VECTORS}), map),
+  sized AS (
+    SELECT *, list_inner_product(a, b) / sqrt(list_inner_product(a, a) * list_inner_product(b, b)) AS cosine,
+           sqrt(list_inner_product(a, a)) AS la, sqrt(list_inner_product(b, b)) AS lb FROM moved),
+  slopes AS (
+    SELECT cosine, score, unnest(range(4)) AS i, unnest(a) AS ai, unnest(b) AS bi, la, lb, q, p FROM sized),
+  cells AS (
+    SELECT i, unnest(range(64)) AS j, cosine, score,
+           2 * (cosine - score) * ((bi / (la * lb) - ai * cosine / (la * la)) * unnest(q)
+                                 + (ai / (la * lb) - bi * cosine / (lb * lb)) * unnest(p)) AS slope
+    FROM slopes)
+  SELECT i, j, round(avg(slope), 6) AS value,
+         round(avg(pow(cosine - score, 2)), 6) AS loss, count(*) AS pairs
+  FROM cells GROUP BY i, j
 """,
     "apply_metric": f"""
   {_LONG}

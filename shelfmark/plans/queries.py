@@ -13,14 +13,14 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.config import Names
 from shelfmark.functions import text
 from shelfmark.functions.encoders import HashedEncoder
 from shelfmark.functions.requests import decode_requests, encode_request
-from shelfmark.operators import codes, evaluate, lists, metric, nearest, pairs, profile, training, tree
+from shelfmark.operators import codes, evaluate, lists, metric, nearest, pairs, profile, projection, training, tree
 from shelfmark.operators.encode import encode, spread
 from shelfmark.operators.skew import join_counted
 from shelfmark.plans import tuning
@@ -35,6 +35,8 @@ VECTOR_DIM = 64
 LISTS = 16
 PROBES = (1, 4, 8)
 LEAVES = 64
+FIXED_RANK = 4
+FITTED_RANK = 16
 CODE_PARTS = 16
 RERANKED = (10, 20, 50)
 FIXED_WEIGHTS = tuple(1.0 / (1 + d) for d in range(VECTOR_DIM))
@@ -91,10 +93,11 @@ def vectors(spark: SparkSession, sf_dir: str, id_col: str) -> DataFrame:
     )
 
 
-def judged_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lineitems as judgements of two embeddings: equal labels 1, neighbours 0.75."""
+def judged_vectors(spark: SparkSession, sf_dir: str, *also: Column) -> DataFrame:
+    """Lineitems as judgements of two embeddings: equal labels 1, neighbours 0.75. ``also``
+    are named columns of lineitem to keep."""
     judged = _table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").alias("query_id"), F.col("l_partkey").alias("item_id")
+        F.col("l_suppkey").alias("query_id"), F.col("l_partkey").alias("item_id"), *also
     )
     held = _table(spark, sf_dir, "embeddings")
     rows = held.count()
@@ -104,8 +107,9 @@ def judged_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
         judged = join_counted(judged, kind, key, 24 * rows)
     gap = F.abs(F.col("query_id_label") - F.col("item_id_label"))
     score = F.when(gap == 0, 1.0).when(gap == 1, 0.75).otherwise(0.0)
+    kept = [c for c in judged.columns if c not in ("query_id_label", "item_id_label")]
     return pairs.join_vectors(
-        judged.select("query_id", "item_id", score.alias("score")),
+        judged.select(*kept, score.alias("score")),
         vectors(spark, sf_dir, "query_id"),
         vectors(spark, sf_dir, "item_id"),
         VECTOR_DIM,
@@ -333,6 +337,29 @@ def tuning_comparison(spark, sf_dir):
     return compared.withColumns({c: F.round(c, 4) for c in ("mean_cosine", "correlation")})
 
 
+def _named_pairs(spark, sf_dir) -> DataFrame:
+    """The judged vectors with an id for each judgement, written once."""
+    ensure_checkpoints(spark)
+    named = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint").alias("id")
+    return judged_vectors(spark, sf_dir, named).checkpoint()
+
+
+def projection_step(spark, sf_dir):
+    """The gradient of the cosine loss over all judgements, at a fixed map."""
+    rows, cols = np.indices((FIXED_RANK, VECTOR_DIM))
+    matrix = 1.0 / (1 + (rows * 7 + cols) % 11)
+    slope, loss, n = projection.gradient(projection.usable_pairs(judged_vectors(spark, sf_dir)), matrix)
+    cells = [(int(i), int(j), float(slope[i, j]), loss, n) for i in range(FIXED_RANK) for j in range(VECTOR_DIM)]
+    made = spark.createDataFrame(cells, "i bigint, j bigint, value double, loss double, pairs bigint")
+    return made.withColumns({c: F.round(c, 6) for c in ("value", "loss")})
+
+
+def projection_comparison(spark, sf_dir):
+    """Held-out agreement of a map fitted on the cosine loss, beside the vectors as they are."""
+    _, compared = tuning.tune_projection(_named_pairs(spark, sf_dir), FITTED_RANK)
+    return compared.withColumns({c: F.round(c, 4) for c in ("mean_cosine", "correlation")})
+
+
 def apply_metric(spark, sf_dir):
     moved = metric.apply_metric(vectors(spark, sf_dir, "item_id"), FIXED_WEIGHTS)
     return _long(moved, "item_id")
@@ -612,6 +639,8 @@ QUERIES = {
     "fit_metric_gram": fit_metric_gram,
     "fit_metric_weights": fit_metric_weights,
     "tuning_comparison": tuning_comparison,
+    "projection_step": projection_step,
+    "projection_comparison": projection_comparison,
     "apply_metric": apply_metric,
     "training_examples": training_examples,
     "knn_exact_l2": knn_exact_l2,

@@ -4,20 +4,22 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.config import Names
-from shelfmark.functions.encoders import Encoder, ReweightedEncoder
-from shelfmark.operators.evaluate import compare_models
+from shelfmark.functions.encoders import Encoder, ProjectedEncoder, ReweightedEncoder
+from shelfmark.operators.evaluate import agreement, compare_models
 from shelfmark.operators.metric import apply_metric, fit_weights
-from shelfmark.operators.pairs import encode_pairs, is_held_out
+from shelfmark.operators.pairs import encode_pairs, is_held_out, pair_cosine
+from shelfmark.operators.projection import Training, apply_projection, fit_projection
 from shelfmark.plans.catalog import catalog_documents
 from shelfmark.session import ensure_checkpoints
 from shelfmark.sources import tables
 from shelfmark.sources.index import Index, read_index, write_vectors
 
-BEFORE, AFTER = "original", "tuned"
+BEFORE, AFTER, PROJECTED = "original", "tuned", "projected"
 
 
 @dataclass(frozen=True)
@@ -69,6 +71,36 @@ def reindex(
     return version, encoder
 
 
+def tune_projection(
+    vector_pairs: DataFrame, rank: int, *, share: float = 0.2, seed: int = 42, training: Training = Training()
+) -> tuple[np.ndarray, DataFrame]:
+    """A low-rank map fitted on the training queries, and its agreement beside that of the
+    vectors as they are, on both parts: (model, held_out, pairs, mean_cosine, correlation).
+
+    ``vector_pairs`` is (id, query_id, query_vec, item_vec, score, ...), read once a step
+    and a few times more, so pass a written table.
+    """
+    marked = vector_pairs.withColumn("held_out", is_held_out(share=share, seed=seed))
+    matrix = fit_projection(marked.where(~F.col("held_out")), rank, training)
+    kept = marked.select("held_out", "score", "query_vec", "item_vec")
+    moved = apply_projection(kept, matrix, "query_vec", "item_vec")
+    both = kept.withColumn("model", F.lit(BEFORE)).unionByName(moved.withColumn("model", F.lit(PROJECTED)))
+    return matrix, agreement(pair_cosine(both), "model", "held_out")
+
+
+def reindex_projected(
+    index: Index, encoder: Encoder, matrix: np.ndarray, path: str, *, lists: int | None = None
+) -> tuple[int, ProjectedEncoder]:
+    """Write the index in the mapped space, from the vectors it already has; the encoder
+    of the new version is stored with it."""
+    encoder = ProjectedEncoder.of(encoder, matrix)
+    vectors = apply_projection(index.items.select("item_id", "embedding"), matrix)
+    version = write_vectors(
+        vectors, path, encoder.model_id, encoder.dim, lists=lists, texts_of=index, encoder=encoder
+    )
+    return version, encoder
+
+
 def judged_vectors(spark: SparkSession, names: Names, encoder: Encoder) -> DataFrame:
     """(query_id, item_id, score, query_vec, item_vec) of the stored labels, written
     to the shared folder so that later passes do not encode again."""
