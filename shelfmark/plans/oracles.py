@@ -91,6 +91,13 @@ _SEARCH = f"""
   JOIN documents d ON d.doc_id = k.item_id
 """
 
+_CHANGED = """
+  SELECT doc_id, concat_ws(' ', lang, source) AS name,
+         CASE WHEN doc_id % 3 = 0 THEN 'changed ' || text[1:200] ELSE text END AS text
+  FROM documents WHERE doc_id % 3 = 0 OR doc_id % 10 <> 7
+  UNION ALL SELECT -item_id - 1, 'benchmark', text FROM benchmark
+"""
+
 _CENTRES = """
   SELECT item, list_id, row_number() OVER (PARTITION BY item ORDER BY gap, list_id) AS place
   FROM (SELECT i.vec_id AS item, c.vec_id AS list_id,
@@ -326,6 +333,12 @@ ORACLES = {
   FROM named JOIN exact USING (query_id, item_id)
   JOIN (SELECT unnest([10, 20, 50])::BIGINT AS rerank) n ON named.place <= n.rerank
   GROUP BY n.rerank
+""",
+    "index_merge": f"""
+  SELECT k.query_id, k.rank, k.item_id AS product_id, d.name AS product_name,
+         d.text AS product_description, k.score
+  FROM ({_knn(_encoded("benchmark", "item_id", "text"), _encoded(f"({_CHANGED})", "doc_id", "text"))}) k
+  JOIN ({_CHANGED}) d ON d.doc_id = k.item_id
 """,
     "tuned_search": f"""
   SELECT k.query_id, k.rank, k.item_id AS product_id,

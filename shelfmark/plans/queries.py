@@ -553,6 +553,29 @@ def semantic_search_lists(spark, sf_dir):
     return search(benchmark_queries(spark, sf_dir), opened, encoder, nprobe=LISTS)
 
 
+def _changes(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Every third document with another text and every benchmark item as a new one; and
+    every tenth document, to be removed."""
+    docs = document_items(spark, sf_dir)
+    replaced = docs.where(F.pmod("item_id", F.lit(3)) == 0).withColumn(
+        "item_text", F.concat(F.lit("changed "), F.substring("item_text", 1, 200))
+    )
+    new = benchmark_queries(spark, sf_dir).select(
+        (-F.col("query_id") - 1).alias("item_id"), F.lit("benchmark").alias("item_name"), F.col("query").alias("item_text")
+    )
+    return replaced.unionByName(new), docs.where(F.pmod("item_id", F.lit(10)) == 7).select("item_id")
+
+
+def index_merge(spark, sf_dir):
+    """Search of an index changed twice: what changed is encoded and written, no more."""
+    path = new_work_dir(spark, "index")
+    index.write_index(document_items(spark, sf_dir), path, HashedEncoder(DIM))
+    changed, removed = _changes(spark, sf_dir)
+    index.change_index(spark, path, changed.where("item_id >= 0"), removed)
+    index.change_index(spark, path, changed.where("item_id < 0"))
+    return open_search(spark, path)(benchmark_queries(spark, sf_dir))
+
+
 def tuned_search(spark, sf_dir):
     """Search of an index moved to a weighted space, no text encoded again; opened by its
     path alone."""
@@ -659,6 +682,7 @@ QUERIES = {
     "index_roundtrip": index_roundtrip,
     "semantic_search": semantic_search,
     "semantic_search_lists": semantic_search_lists,
+    "index_merge": index_merge,
     "tuned_search": tuned_search,
     "requests_roundtrip": requests_roundtrip,
     "stream_search": stream_search_requests,
