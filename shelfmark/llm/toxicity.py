@@ -6,9 +6,14 @@ seen shares most n-grams with the word it stands for, and so its vector.
 
 Training takes a bounded sample of labelled documents, ``Settings.sample``, to the
 driver: at most that many of label 1, ``Settings.clean`` times as many of label 0, by
-the hash of doc_id. Everything is scored
+the hash of doc_id, one text for each, and at most ``Settings.sample_bytes`` of texts.
+Everything is scored
 by the executors. A document's logit is linear in its words, so a word is worked out
 once, as one number, and looked up after that.
+
+Every row of ``documents`` is scored, rows that share a doc_id each by its own text; a
+null or empty text has no words and scores by the bias alone, a very long one like any
+other. No column but doc_id and text is read.
 """
 
 from __future__ import annotations
@@ -34,6 +39,8 @@ class Settings:
     #: Most labelled documents of label 1 in training, and of label 0 for each of them.
     sample: int = 2600
     clean: int = 2
+    #: Most bytes of their texts; a text that does not fit is left out.
+    sample_bytes: int = 128 << 20
     #: What a toxic document counts in the loss: missing one is worse than a false alarm.
     weight: float = 3.0
     buckets: int = 1 << 16
@@ -52,10 +59,10 @@ def words_of(text: str | None) -> set[str]:
 
 def subwords(word: str, settings: Settings) -> list[int]:
     """Buckets of a word's n-grams, its ends marked, and of the word itself."""
-    marked = f"<{word}>".encode()
-    found = [zlib.crc32(marked)]
+    marked = f"<{word}>"
+    found = [zlib.crc32(marked.encode())]
     for n in settings.grams:
-        found += [zlib.crc32(marked[i : i + n]) for i in range(len(marked) - n + 1)]
+        found += [zlib.crc32(marked[i : i + n].encode()) for i in range(len(marked) - n + 1)]
     return [f % settings.buckets for f in found]
 
 
@@ -166,7 +173,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, settings: Settings = Set
     """Texts and labels of a bounded sample, the same in every run.
 
     A doc_id with several labels is toxic if one of them says so; null labels and ids
-    are left out.
+    are left out. Of rows that share a doc_id one text is taken. Texts are taken in the
+    order of a hash of the id as long as ``sample_bytes`` are not exceeded.
     """
     known = labels.select("doc_id", "toxic").where("doc_id is not null and toxic is not null")
     known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -178,9 +186,21 @@ def training_sample(docs: DataFrame, labels: DataFrame, settings: Settings = Set
     ids = docs.sparkSession.createDataFrame(
         [(r["doc_id"], int(r["toxic"])) for r in chosen], "doc_id bigint, toxic int"
     )
-    # A bounded number of rows on either side of the join.
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
+    # One text for each id, however many rows share it.
+    one = F.min_by("text", F.xxhash64("text")).alias("text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(
+        one, F.first("toxic").alias("toxic")
+    )
+    # Sizes first: a row for each chosen id.
+    sizes = rows.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).collect()
+    room, fit = settings.sample_bytes, []
+    for row in sorted(sizes, key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"])):
+        if row["size"] <= room:
+            room -= row["size"]
+            fit.append((row["doc_id"],))
+    fit = docs.sparkSession.createDataFrame(fit, "doc_id bigint")
+    rows = rows.join(F.broadcast(fit), "doc_id", "left_semi").collect()
+    rows.sort(key=lambda r: r["doc_id"])
     return [r["text"] for r in rows], [r["toxic"] for r in rows]
 
 

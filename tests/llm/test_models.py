@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 
 from pyspark.sql import functions as F
 
@@ -45,8 +46,6 @@ def test_labels_of_held_out_rows_are_not_used(spark):
         for n, l in ((2, frame), (5, flipped))
     )
     assert one == other
-    import zlib
-
     got = toxicity.op3_toxicity(spark, docs, frame).collect()
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in got)
     assert all(r["predicted"] == int(r["score"] >= 0.5) for r in got)
@@ -76,3 +75,21 @@ def test_fingerprints(spark, messy):
 def test_frequencies_count_documents(spark):
     counts = imatch.document_frequencies(documents(spark, ["A a b", "b", None, "", "a"]))
     assert {r["term"]: r["documents"] for r in counts.collect()} == {"a": 2, "b": 2}
+
+
+def test_the_sample_takes_one_text_of_an_id_and_bounded_bytes(spark):
+    rows = [(1, f"text {i}") for i in range(500)] + [(2, "y" * 100), (3, None), (4, "z" * 50)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 6)], "doc_id bigint, toxic int")
+    kept = [i for i in range(1, 5) if zlib.crc32(str(i).encode()) % 5]
+    texts, toxic = toxicity.training_sample(docs, labels)
+    assert len(texts) == len(toxic) == len(kept)
+    assert sum((t or "").startswith("text ") for t in texts) == (1 in kept)
+    small, _ = toxicity.training_sample(docs, labels, toxicity.Settings(sample_bytes=60))
+    assert sum(len(t or "") for t in small) <= 60 and len(small) < len(texts)
+
+
+def test_subwords_are_of_letters():
+    settings = toxicity.Settings(buckets=1 << 30)
+    of = {zlib.crc32(x.encode()) % settings.buckets for x in ("<éß>", "<éß", "éß>")}
+    assert set(toxicity.subwords("éß", settings)) == of
