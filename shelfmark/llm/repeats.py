@@ -94,18 +94,18 @@ def anchors(data: np.ndarray, ends: list[int], powers: _Powers) -> tuple[np.ndar
     return places, grams[places]
 
 
-def _parts(offsets: np.ndarray) -> Iterator[tuple[int, int, list[int], int]]:
+def _parts(offsets: np.ndarray, size: int) -> Iterator[tuple[int, int, list[int], int]]:
     """(first byte, last, ends of texts, first text) of runs of whole texts of about
-    ``PART`` bytes; a longer text comes in overlapping parts that hold all its windows."""
+    ``size`` bytes; a longer text comes in overlapping parts that hold all its windows."""
     first = 0
     while first < len(offsets) - 1:
-        last = max(int(np.searchsorted(offsets, offsets[first] + PART, "right")) - 1, first + 1)
+        last = max(int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1, first + 1)
         start, end = int(offsets[first]), int(offsets[last])
-        if end - start <= PART:
+        if end - start <= size:
             yield start, end, [int(e) - start for e in offsets[first + 1 : last + 1]], first
         else:
-            for at in range(start, end - WINDOW + 1, PART):
-                stop = min(at + PART + WINDOW - 1, end)
+            for at in range(start, end - WINDOW + 1, size):
+                stop = min(at + size + WINDOW - 1, end)
                 yield at, stop, [stop - at], first
         first = last
 
@@ -122,9 +122,10 @@ def _anchor_rows(texts: DataFrame, whole: bool) -> DataFrame:
     """Per anchor of ``texts`` (text_a, text_b, data): the hash of its gram, key; with
     ``whole`` also ctx (hash of its surroundings), text_a, text_b and pos. A task looks at
     equal texts once."""
+    size = PART
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = _Powers(PART + WINDOW)
+        powers = _Powers(size + WINDOW)
         seen: set[tuple[int, int]] = set()
         for batch in batches:
             names = list(zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()))
@@ -140,8 +141,16 @@ def _anchor_rows(texts: DataFrame, whole: bool) -> DataFrame:
             data, offsets = _binary(batch.column("data"))
             held = memoryview(data)
             names = [batch.column(c).to_numpy() for c in ("text_a", "text_b")]
-            for start, end, ends, first in _parts(offsets):
+            before, stop = np.zeros(0, np.int64), 0
+            for start, end, ends, first in _parts(offsets, size):
                 at, grams = anchors(data[start:end], ends, powers)
+                if start < stop:
+                    # Parts of a long text overlap: an anchor found in both is one anchor.
+                    new = ~np.isin(at + start, before)
+                    before, at, grams = at + start, at[new], grams[new]
+                else:
+                    before = at + start
+                stop = end
                 found = {"key": grams.view(np.int64)}
                 if whole:
                     text = first + np.searchsorted(ends, at, "right")
@@ -166,6 +175,14 @@ def _common(one: int, other: int, width: int, most: int) -> int:
     return min(most, width - (unlike.bit_length() + 7 >> 3)) if unlike else most
 
 
+class _Interval:
+    """Neighbours in the suffix array that agree in ``depth`` bytes: their ranks by what
+    precedes them, and the pairs of its parts that repeat, as (bytes to the left, rank)."""
+
+    def __init__(self, members: list[int], depth: int = -1, repeats: set[tuple[int, int]] | None = None):
+        self.members, self.depth, self.repeats = members, depth, repeats or set()
+
+
 def scan_section(
     rights: list[bytes], lefts: list[bytes], groups: list | None = None
 ) -> tuple[list[int], list[int]]:
@@ -173,7 +190,7 @@ def scan_section(
 
     ``rights`` is sorted; ``lefts`` are reversed, from the anchor backwards. Both results
     are 0 where no passage of ``WINDOW`` bytes repeats. ``groups`` gets (left, right,
-    members) of each maximal repeat, once or more; its members add up to all occurrences.
+    members) of each maximal repeat, with all its occurrences.
     """
     n = len(rights)
     order = sorted(range(n), key=lefts.__getitem__)
@@ -184,52 +201,69 @@ def scan_section(
     reach = [len(lefts[i]) for i in order]
     best_left, best_right = [0] * n, [0] * n
 
-    def meets(small: list[int], large: list[int], right: int) -> list[int]:
+    def left_of(x: int, y: int) -> int:
+        return _common(before[x], before[y], BEFORE, min(reach[x], reach[y]))
+
+    def meets(one: _Interval, other: _Interval, right: int) -> _Interval:
         """Both intervals as one; pairs between them agree in ``right`` bytes."""
-        if len(small) > len(large):
-            small, large = large, small
+        small, large = sorted((one.members, other.members), key=len)
         repeats = set()
         for x in small:
             at = bisect_left(large, x)
             for y in large[max(at - 1, 0) : at + 1]:
-                left = _common(before[x], before[y], BEFORE, min(reach[x], reach[y]))
+                left = left_of(x, y)
                 if left + right >= WINDOW:
                     repeats.add((left, x))
                     for z in (x, y):
                         best_left[z] = max(best_left[z], left)
                         best_right[z] = max(best_right[z], right)
+        if groups is not None:
+            for interval in (one, other):
+                # An interval of the same depth goes on; a deeper one is whole.
+                if interval.depth == right:
+                    repeats |= interval.repeats
+                else:
+                    tell(interval)
         if len(small) * 8 < len(large):
             for x in small:
                 insort(large, x)
         else:
             large = sorted(large + small)
-        if groups is not None:
-            for left, x in repeats:
-                groups.append((left, right, [order[y] for y in _alike(large, x, left)]))
-        return large
-
-    def _alike(members: list[int], x: int, left: int) -> list[int]:
-        """The members whose bytes before the anchor agree with x's so far."""
-        first = last = bisect_left(members, x)
-        while first and _common(before[members[first - 1]], before[x], BEFORE, min(reach[members[first - 1]], reach[x])) >= left:
-            first -= 1
-        while last + 1 < len(members) and _common(before[members[last + 1]], before[x], BEFORE, min(reach[members[last + 1]], reach[x])) >= left:
-            last += 1
-        return members[first : last + 1]
+        return _Interval(large, right, repeats)
+
+    def tell(interval: _Interval) -> None:
+        """The maximal repeats of a whole interval: the members around each pair that met,
+        and those around them that agree less far, as long as it is far enough."""
+        members, told = interval.members, set()
+        for left, x in interval.repeats:
+            first = last = bisect_left(members, x)
+            while left + interval.depth >= WINDOW:
+                while first and left_of(members[first - 1], x) >= left:
+                    first -= 1
+                while last + 1 < len(members) and left_of(members[last + 1], x) >= left:
+                    last += 1
+                if (first, last, left) in told:
+                    break
+                told.add((first, last, left))
+                groups.append((left, interval.depth, [order[y] for y in members[first : last + 1]]))
+                outside = [members[i] for i in (first - 1, last + 1) if 0 <= i < len(members)]
+                left = max((left_of(y, x) for y in outside), default=-WINDOW)
 
     after = [int.from_bytes(x.ljust(WINDOW, b"\0"), "big") for x in rights]
-    stack: list[tuple[int, list[int]]] = []
-    last = [rank[0]]
+    stack: list[tuple[int, _Interval]] = []
+    last = _Interval([rank[0]])
     for i in range(1, n):
         depth = _common(after[i - 1], after[i], WINDOW, min(len(rights[i - 1]), len(rights[i])))
         while stack and stack[-1][0] >= depth:
-            shared, members = stack.pop()
-            last = meets(members, last, shared)
+            shared, interval = stack.pop()
+            last = meets(interval, last, shared)
         stack.append((depth, last))
-        last = [rank[i]]
+        last = _Interval([rank[i]])
     while stack:
-        shared, members = stack.pop()
-        last = meets(members, last, shared)
+        shared, interval = stack.pop()
+        last = meets(interval, last, shared)
+    if groups is not None:
+        tell(last)
     return [best_left[r] for r in rank], [best_right[r] for r in rank]
 
 
@@ -338,7 +372,9 @@ class Repeats:
             F.first("data").alias("data"), F.count(F.lit(1)).alias("copies")
         )
         keys = _anchor_rows(self.texts, whole=False).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-        live = _anchor_rows(self.texts, whole=True).join(keys.where("n > 1").select("key"), "key")
+        # Written, so that the join can split a key that stands in very many places.
+        keys = store(keys.where("n > 1").select("key"), "keys")
+        live = _anchor_rows(self.texts, whole=True).join(keys, "key")
         #: Anchors whose gram stands in several places: key, ctx, text_a, text_b, pos.
         self.live = store(live, "anchors")
         found = self.live.groupBy("key", "ctx").agg(

@@ -61,12 +61,11 @@ def test_all_windows(spark, monkeypatch, section, part):
     assert sorted((tuple(r)[:5] for r in got.collect()), key=str) == brute(rows)
 
 
-def test_parts_hold_all_windows(monkeypatch):
-    monkeypatch.setattr(repeats, "PART", 1000)
+def test_parts_hold_all_windows():
     sizes = [200, 5000, 300, 300, 300, 2000, 1000]
     offsets = np.cumsum([0, *sizes])
     held = [set() for _ in sizes]
-    for start, end, ends, first in repeats._parts(offsets):
+    for start, end, ends, first in repeats._parts(offsets, 1000):
         assert end - start <= 1000 + 199
         for n, stop in enumerate(ends):
             begin = start + (ends[n - 1] if n else 0)
