@@ -5,7 +5,7 @@ Sums are taken in double. Arrays of different length give NULL.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -37,12 +37,25 @@ def l2_squared(a: Column, b: Column) -> Column:
     return _total(F.zip_with(a, b, gap))
 
 
+def _scaled_to_one(a: Column, length: Callable[[Column], Column]) -> Column:
+    """``a`` by its ``length``; a vector without length becomes zeros.
+
+    Vector and length are each bound to a name by a transform of a single element: inside
+    the inner lambda they would be worked out again for every number of the vector.
+    """
+    bound = F.transform(F.array(a), lambda v: F.struct(v.alias("v"), length(v).alias("length")))
+
+    def divided(s: Column) -> Column:
+        return F.transform(
+            s["v"], lambda x: F.coalesce(F.try_divide(x.cast("double"), s["length"]), F.lit(0.0)).cast("float")
+        )
+
+    return F.transform(bound, divided)[0]
+
+
 def unit(a: Column) -> Column:
     """The vector scaled to length one; a zero vector stays zero."""
-    length = norm(a)
-    return F.transform(
-        a, lambda x: F.coalesce(F.try_divide(x.cast("double"), length), F.lit(0.0)).cast("float")
-    )
+    return _scaled_to_one(a, norm)
 
 
 def reweight(a: Column, weights: Sequence[float]) -> Column:
@@ -53,7 +66,4 @@ def reweight(a: Column, weights: Sequence[float]) -> Column:
     """
     roots = F.array(*[F.lit(float(w) ** 0.5) for w in weights])
     scaled = F.zip_with(a, roots, lambda x, r: x.cast("double") * r)
-    length = F.sqrt(_total(F.transform(scaled, lambda x: x * x)))
-    return F.transform(
-        scaled, lambda x: F.coalesce(F.try_divide(x, length), F.lit(0.0)).cast("float")
-    )
+    return _scaled_to_one(scaled, norm)

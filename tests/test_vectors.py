@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -59,3 +61,14 @@ def test_no_length_and_wrong_length(spark):
 def test_opposite_vectors_are_not_clamped(spark):
     df = spark.createDataFrame([([1.0, 0.0], [-2.0, 0.0])], "a array<float>, b array<float>")
     assert df.select(V.cosine(F.col("a"), F.col("b"))).first()[0] == -1.0
+
+
+def test_length_is_worked_out_once_for_a_vector(spark):
+    """Not once for each number of it, which grows with the square of the dimension."""
+    dim = 2000
+    made = F.transform(F.sequence(F.lit(1), F.lit(dim)), lambda i: (i + F.col("id")).cast("float"))
+    df = spark.range(0, 300, 1, 1).select(made.alias("a"))
+    began = time.monotonic()
+    for moved in (V.unit(F.col("a")), V.reweight(F.col("a"), [1.0] * dim)):
+        assert df.where(F.abs(V.norm(moved) - 1) < 1e-3).count() == 300
+    assert time.monotonic() - began < 20
