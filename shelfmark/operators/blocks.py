@@ -17,6 +17,7 @@ QUERY_TILE = 512
 ITEM_TILE = 4096
 BATCH_QUERIES = 2048
 RESCORE_VALUES = 1 << 21
+EMIT_ROWS = 50_000
 #: Survivors per wanted result from which a query's whole tile is scored at once.
 CROWDED = 16
 NO_ITEM = np.iinfo(np.int64).max
@@ -45,7 +46,7 @@ def placed(column: pa.Array, metric: str) -> np.ndarray:
     vectors = vectors_of(column)
     if metric != "cosine":
         return vectors
-    lengths = _lengths(vectors)[:, None]
+    lengths = lengths_of(vectors)[:, None]
     return (vectors / np.where(lengths > 0, lengths, 1)).astype(np.float32)
 
 
@@ -118,7 +119,9 @@ class TopK:
         self.metric, self.digits = metric, digits
         self.cost = np.full((len(ids), k), np.inf)
         self.item = np.full((len(ids), k), NO_ITEM, dtype=np.int64)
-        self.lengths = _lengths(vectors)
+        self.lengths = lengths_of(vectors)
+        #: (queries, items) of the tile at hand that must not meet, if any.
+        self.shut: np.ndarray | None = None
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         if len(ids) == 0 or len(self.ids) == 0:
@@ -130,7 +133,7 @@ class TopK:
         ids, vectors = drop_far_copies(ids, vectors, self.k)
         order = np.argsort(ids)  # so that among equals of a tile the first has the smallest id
         ids, vectors = ids[order], vectors[order]
-        lengths = _lengths(vectors)
+        lengths = lengths_of(vectors)
         for q in range(0, len(self.ids), QUERY_TILE):
             for i in range(0, len(ids), ITEM_TILE):
                 chosen = slice(i, i + ITEM_TILE)
@@ -214,6 +217,8 @@ class TopK:
         at, col = np.nonzero(unsure)
         cost[at, col] = self._rescore(block, vectors, lengths, rows[at], col)
         cost[np.isnan(cost)] = np.inf
+        if self.shut is not None:
+            cost[self.shut[rows]] = np.inf
         pick = cost <= self.cost[block, -1][rows][:, None]
         if cost.shape[1] > self.k:
             last = np.partition(cost, self.k - 1, axis=1)[:, self.k - 1 : self.k]
@@ -239,6 +244,12 @@ class TopK:
         self.cost[block][row, place] = cost[order]
         self.item[block][row, place] = item[order]
 
+    def results(self) -> Iterator[pa.RecordBatch]:
+        """:meth:`result` in parts."""
+        found = self.result()
+        for start in range(0, found.num_rows, EMIT_ROWS):
+            yield found.slice(start, EMIT_ROWS)
+
     def result(self) -> pa.RecordBatch:
         """Rows of (query_id, item_id, rank, score), best first."""
         row, col = np.nonzero(np.isfinite(self.cost))
@@ -261,6 +272,9 @@ def rounded(score: np.ndarray, digits: int) -> np.ndarray:
     return np.floor(score * scale + (0.5 + 1e-4)) / scale
 
 
-def _lengths(vectors: np.ndarray) -> np.ndarray:
-    wide = vectors.astype(np.float64)
-    return np.sqrt(np.einsum("nd,nd->n", wide, wide))
+def lengths_of(vectors: np.ndarray) -> np.ndarray:
+    found = np.empty(len(vectors))
+    for first in range(0, len(vectors), ITEM_TILE):  # the wide copy stays small
+        wide = vectors[first : first + ITEM_TILE].astype(np.float64)
+        found[first : first + ITEM_TILE] = np.einsum("nd,nd->n", wide, wide)
+    return np.sqrt(found)

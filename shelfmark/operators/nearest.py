@@ -29,7 +29,6 @@ from shelfmark.operators.blocks import TopK, best_of_block, same_vectors, vector
 from shelfmark.session import ensure_checkpoints, new_work_dir, released, share
 
 RESULT = "query_id bigint, item_id bigint, rank bigint, score double"
-_EMIT_ROWS = 50_000
 
 
 def knn_exact(
@@ -147,9 +146,7 @@ def _search_queries_block(queries, items, k, metric, digits) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 best.add(batch.column(0).to_numpy(), vectors_of(batch.column(1)))
-        found = best.result()
-        for start in range(0, found.num_rows, _EMIT_ROWS):
-            yield found.slice(start, _EMIT_ROWS)
+        yield from best.results()
 
     found = top_k_rows(items.mapInArrow(run, RESULT), k, metric)
     # Equal queries were searched once; the block they come from is small.

@@ -1,8 +1,12 @@
+import glob
+import tracemalloc
+
 import numpy as np
 import pytest
 from conftest import brute_force, frame, rows_of
 
 from shelfmark.operators import codes, lists
+from shelfmark.session import work_root
 
 
 def clustered(rng, rows, dim):
@@ -81,3 +85,47 @@ def test_small_inputs(spark):
     asked = frame(spark, "query_id", [1], [[1.0, 2.0, 5.0]])
     assert rows_of(codes.knn_codes(asked, held, items, book)) == {(1, 0, 1, 4.0)}
     assert codes.knn_codes(asked, held.where("false"), items, book).collect() == []
+
+
+@pytest.mark.parametrize("rerank", [None, 10])
+def test_memory_of_a_task_does_not_grow_with_the_block(rerank):
+    """Queries meet items tile by tile, not the whole block at once."""
+    rng = np.random.default_rng(5)
+    q, x = rng.normal(size=(12_000, 4)).astype(np.float32), rng.normal(size=(8192, 4)).astype(np.float32)
+    book = codes.CodeBook(lists.Centroids(np.zeros((1, 4), np.float32)), rng.normal(size=(2, 16, 2)))
+    list_ids = np.zeros(len(x), np.int64)
+    coded = book.codes(x.astype(np.float64))
+    error = np.linalg.norm(x - book.stands(coded, list_ids), axis=1)
+    best = (codes._Bounded if rerank is None else codes._Reranked)(np.arange(len(q)), q, None, book, rerank or 5, 6)
+    tracemalloc.start()
+    best.add_coded(np.arange(len(x)), x, list_ids, coded, error)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6 < 8 * len(q) * len(x)
+
+
+def test_codes_that_tell_nothing_apart_pass_on_few_rows(spark):
+    """Every item could be among the best of every query; a task still passes on k."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 6)).astype(np.float32)
+    items = frame(spark, "item_id", range(300), x)
+    origin = lists.Centroids(np.zeros((1, 6), np.float32))
+    book = codes.CodeBook(origin, np.zeros((2, 1, 3)))
+    held = codes.encode_items(lists.assign_lists(items, origin), book)
+    before = set(glob.glob(f"{work_root(spark)}/codes-*/block=*"))
+    got = rows_of(codes.knn_codes(frame(spark, "query_id", range(300), x), held, items, book, broadcast_bytes=8192))
+    assert got == brute_force(range(300), x, range(300), x, 5)
+    written = sorted(set(glob.glob(f"{work_root(spark)}/codes-*/block=*")) - before)
+    assert len(written) > 1 and spark.read.parquet(*written).count() == 300 * 5
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_ranking_every_item_is_exact(spark, metric):
+    rng = np.random.default_rng(7)
+    x = clustered(rng, 200, 10)
+    x[40:60] = x[3]
+    items, held, book = coded(spark, x, metric)
+    asked = frame(spark, "query_id", range(40), x[:40]).repartition(3)
+    for room in (1 << 26, 16_000):
+        got = rows_of(codes.knn_codes(asked, held, items, book, rerank=200, broadcast_bytes=room))
+        assert got == brute_force(range(40), x[:40], range(200), x, 5, metric)
