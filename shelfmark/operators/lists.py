@@ -32,6 +32,10 @@ from shelfmark.session import ensure_checkpoints, share
 
 _log = logging.getLogger(__name__)
 
+#: Queries times lists that are compared at a time, and visits in one Arrow batch.
+_VISIT_VALUES = 1 << 20
+_VISIT_ROWS = 8192
+
 
 @dataclass(frozen=True)
 class Centroids:
@@ -237,53 +241,95 @@ def knn_pruned(
     bound = first.where(F.col("rank") == k).select("query_id", gap.alias("bound"))
     bound = bound.checkpoint()
     radius = listed.groupBy("list_id").agg(F.max("list_gap").alias("radius"))
-    visits = _lists_within(queries.join(bound, "query_id", "left"), radius, centroids)
-    asked, copied = queries.count(), visits.count()
+    bounded = queries.join(bound, "query_id", "left")
+    asked, copied = queries.count(), _count_within(bounded, radius, centroids)
     if prune is None:
         query_blocks, item_blocks = -(-asked // cell_rows), -(-rows // cell_rows)
         prune = copied + rows <= asked * item_blocks + rows * query_blocks
-    if not prune:
+    if prune:
+        visits = _lists_within(bounded, radius, centroids)
+        found = search_cells(visits, listed, k, metric, digits=digits, cell_rows=cell_rows)
+    else:
         _log.info("%d visits of %d queries: comparing all blocks", copied, asked)
-        # One list of all; not a literal, so that cells still meet by their keys.
-        visits = queries.withColumn("list_id", F.pmod("query_id", F.lit(1)))
-        listed = listed.withColumn("list_id", F.pmod("item_id", F.lit(1)))
-    found = search_cells(visits, listed, k, metric, digits=digits, cell_rows=cell_rows)
+        found = compare_all(queries, listed, k, metric, digits=digits, cell_rows=cell_rows)
     return named_again(found, names)
 
 
-def _lists_within(queries: DataFrame, radius: DataFrame, centroids: Centroids) -> DataFrame:
-    """(query_id, embedding, list_id) for every list that may hold a result."""
+def _reach(queries: DataFrame, radius: DataFrame, centroids: Centroids):
+    """A function from a batch of ``queries`` (query_id, embedding, bound) to tiles of it:
+    (first row, which lists may hold a result of each row), and the lists' ids."""
     held = sorted((row["list_id"], row["radius"]) for row in radius.collect())  # a row per list
     ids = np.array([n for n, _ in held], dtype=np.int64)
     radii = np.sqrt([gap for _, gap in held])
     block = share(queries.sparkSession, (ids, centroids.vectors[ids].astype(np.float64), radii))
     metric = centroids.metric
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, centers, reach = block.value
+    def within(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+        _, centers, reach = block.value
         squares = np.einsum("ld,ld->l", centers, centers)
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            q = placed(batch.column("embedding"), metric).astype(np.float64)
+        step = max(1, _VISIT_VALUES // max(len(centers), 1))
+        for start in range(0, batch.num_rows, step):
+            part = batch.slice(start, step)
+            q = placed(part.column("embedding"), metric).astype(np.float64)
             gap = np.einsum("nd,nd->n", q, q)[:, None] + squares[None, :] - 2 * (q @ centers.T)
             gap = np.sqrt(np.maximum(gap, 0))
-            bound = batch.column("bound").to_numpy(zero_copy_only=False).astype(np.float64)
+            bound = part.column("bound").to_numpy(zero_copy_only=False).astype(np.float64)
             bound = np.where(np.isnan(bound), np.inf, np.sqrt(np.maximum(bound, 0)))
             # room for rounded bounds and for rounding in the distances
             slack = 2e-3 + 1e-6 * (gap + reach[None, :])
-            row, col = np.nonzero(gap <= bound[:, None] + reach[None, :] + slack)
-            picked = batch.take(pa.array(row))
-            yield pa.RecordBatch.from_arrays(
-                [picked.column("query_id"), picked.column("embedding"), pa.array(ids[col])],
-                names=["query_id", "embedding", "list_id"],
-            )
+            yield start, gap <= bound[:, None] + reach[None, :] + slack
+
+    return within, ids
+
+
+def _lists_within(queries: DataFrame, radius: DataFrame, centroids: Centroids) -> DataFrame:
+    """(query_id, embedding, list_id) for every list that may hold a result.
+
+    Visits leave a task a few at a time: where lists do not prune there is one for each
+    query and list, and each carries a vector.
+    """
+    within, ids = _reach(queries, radius, centroids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, visited in within(batch):
+                row, col = np.nonzero(visited)
+                for first in range(0, len(row), _VISIT_ROWS):
+                    part = slice(first, first + _VISIT_ROWS)
+                    picked = batch.take(pa.array(row[part] + start))
+                    yield pa.RecordBatch.from_arrays(
+                        [picked.column("query_id"), picked.column("embedding"), pa.array(ids[col[part]])],
+                        names=["query_id", "embedding", "list_id"],
+                    )
 
     return queries.where(F.col("embedding").isNotNull()).mapInArrow(
         run, "query_id bigint, embedding array<float>, list_id bigint"
     )
 
 
+def _count_within(queries: DataFrame, radius: DataFrame, centroids: Centroids) -> int:
+    """How many rows :func:`_lists_within` would have, none of them made."""
+    within, _ = _reach(queries, radius, centroids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        visits = sum(int(visited.sum()) for batch in batches for _, visited in within(batch))
+        yield pa.RecordBatch.from_pydict({"visits": [visits]})
+
+    counted = queries.where(F.col("embedding").isNotNull()).mapInArrow(run, "visits bigint")
+    return counted.agg(F.sum("visits")).first()[0] or 0
+
+
+def compare_all(
+    queries: DataFrame, items: DataFrame, k: int, metric: str, *, digits: int, cell_rows: int = config.CELL_ROWS
+) -> DataFrame:
+    """Every block of queries against every block of items, in one job: nothing is
+    broadcast and no cell holds many more than ``cell_rows`` rows of either side."""
+    # One list of all; not a literal, so that cells still meet by their keys.
+    visits = queries.withColumn("list_id", F.pmod("query_id", F.lit(1)))
+    listed = items.withColumn("list_id", F.pmod("item_id", F.lit(1)))
+    return search_cells(visits, listed, k, metric, digits=digits, cell_rows=cell_rows)
+
+
 def search_cells(
     visits: DataFrame,
     listed: DataFrame,

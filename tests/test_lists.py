@@ -75,3 +75,20 @@ def test_cells_stay_small(data):
     visits = lists.nearest_lists(queries, centroids, 6)
     plan = lists.search_cells(visits, listed, 5, "l2", cell_rows=10)._jdf.queryExecution().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_visits_are_counted_before_any_is_made(spark, monkeypatch):
+    """In many dimensions lists do not prune: no query is copied to each list first."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(300, 30)).astype(np.float32)
+    items, queries = frame(spark, "item_id", range(300), x), frame(spark, "query_id", range(300), x)
+    centroids = lists.fit_centroids(items, 12)
+    radius = lists.assign_lists(items, centroids).groupBy("list_id").agg(F.max("list_gap").alias("radius"))
+    monkeypatch.setattr(lists, "_VISIT_VALUES", 100)
+    monkeypatch.setattr(lists, "_VISIT_ROWS", 7)
+    for bound in (0.01, 20.0, None):
+        bounded = queries.withColumn("bound", F.lit(bound).cast("double"))
+        made = lists._lists_within(bounded, radius, centroids)
+        assert lists._count_within(bounded, radius, centroids) == made.count() == made.distinct().count() > 0
+    monkeypatch.setattr(lists, "_lists_within", None)
+    assert rows_of(lists.knn_pruned(queries, items, 5, lists=12)) == brute_force(range(300), x, range(300), x, 5)
