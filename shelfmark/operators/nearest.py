@@ -10,7 +10,8 @@ better. A side may be broadcast only after its size has been counted:
 * ``items``: the items fit, so every query is answered where it lies, with no
   shuffle at all;
 * ``queries``: the queries fit, so the items are scanned once and each task
-  passes on its k best per query. Queries beyond the size go block by block;
+  passes on its k best per query. Queries beyond the size go block by block, or, if
+  these were more than ``MOST_SCANS``, are compared with the items in bounded cells;
 * ``lists``: neither fits, so both are cut into bounded cells (see
   :mod:`shelfmark.operators.lists`).
 """
@@ -30,6 +31,10 @@ from shelfmark.session import ensure_checkpoints, new_work_dir, released, share
 
 RESULT = "query_id bigint, item_id bigint, rank bigint, score double"
 
+#: Most blocks of queries that are answered one after another, a scan of the items for
+#: each. It is about as many scans as fitting lists would take.
+MOST_SCANS = 16
+
 
 def knn_exact(
     queries: DataFrame,
@@ -66,7 +71,12 @@ def knn_exact(
     if strategy == "items":
         return _search_items_block(queries, items, k, metric, digits)
     if strategy == "queries":
-        blocks = -(-sizes[0] // broadcast_bytes)
+        blocks = -(-sizes[0] // max(broadcast_bytes, 1))
+        if blocks > MOST_SCANS:
+            from shelfmark.operators.lists import compare_all
+
+            keyed, names = with_keys(queries)
+            return named_again(compare_all(keyed, items, k, metric, digits=digits), names)
         if blocks > 1:
             return _search_blocks(queries, items, k, metric, digits, blocks)
         return _search_queries_block(queries, items, k, metric, digits)

@@ -119,3 +119,18 @@ def test_item_search_has_no_shuffle(data):
 def test_reading_order(data):
     rows = ordered(knn_exact(data[4], data[5], 3)).collect()
     assert [(r.query_id, r["rank"]) for r in rows] == sorted((r.query_id, r["rank"]) for r in rows)
+
+
+def test_many_small_blocks_are_compared_in_one_job(spark):
+    """A job and a scan of the items for each block would grow with the square of the rows."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(60, 6))
+    queries, items = frame(spark, "query_id", range(60), x), frame(spark, "item_id", range(60), x)
+    context = spark.sparkContext
+    context.setJobGroup("blocks", "")
+    try:
+        got = rows_of(knn_exact(queries, items, 4, strategy="queries", broadcast_bytes=100))
+        jobs = context.statusTracker().getJobIdsForGroup("blocks")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert got == brute_force(range(60), x, range(60), x, 4) and 0 < len(jobs) < 30
