@@ -1,6 +1,8 @@
 import numpy as np
 import pytest
 from conftest import brute_force, frame, rows_of
+
+from shelfmark.operators import lists
 from shelfmark.operators.nearest import block_sizes, choose_strategy, knn_exact, ordered
 
 STRATEGIES = ["auto", "items", "queries", "lists"]
@@ -134,3 +136,14 @@ def test_many_small_blocks_are_compared_in_one_job(spark):
     finally:
         context.setLocalProperty("spark.jobGroup.id", None)
     assert got == brute_force(range(60), x, range(60), x, 4) and 0 < len(jobs) < 30
+
+
+def test_no_lists_are_fitted_for_a_few_blocks(spark, monkeypatch):
+    """Neither side fits, but a few scans cost less than fitting and visiting lists."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(40, 6))
+    queries, items = frame(spark, "query_id", range(40), x), frame(spark, "item_id", range(40), x)
+    monkeypatch.setattr(lists, "knn_pruned", None)
+    assert rows_of(knn_exact(queries, items, 4, broadcast_bytes=1000)) == brute_force(range(40), x, range(40), x, 4)
+    with pytest.raises(TypeError):
+        knn_exact(queries, items, 4, broadcast_bytes=100)
