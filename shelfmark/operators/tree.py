@@ -41,6 +41,8 @@ _FRACTION = 1 << 30
 _SWEEPS = 10
 #: Leaves that bound a query's k-th distance.
 _FIRST_LEAVES = 4
+#: Visits that one part of a top's queries may make.
+_PART_VISITS = 1 << 15
 
 _LEAVES = "list_id bigint, top bigint, center array<float>"
 
@@ -186,7 +188,9 @@ def _visits(asked: DataFrame, leaves: DataFrame, metric: str, nprobe: int | None
         picked = picked.append_column("list_id", pa.array(leaves.column("list_id").to_numpy()[col], pa.int64()))
         return picked.append_column("gap", pa.array(gap[row, col], pa.float64()))
 
-    found = _meet_leaves(asked, leaves, "query_id", run, _VISITS, cell_rows)
+    # Each visit carries a vector, and all of a part leave it at once.
+    most = leaves.groupBy("top").count().agg(F.max("count")).first()[0] or 1
+    found = _meet_leaves(asked, leaves, "query_id", run, _VISITS, max(1, min(cell_rows, _PART_VISITS // most)))
     if nprobe is not None:
         place = F.row_number().over(Window.partitionBy("query_id").orderBy("gap", "list_id"))
         found = found.withColumn("place", place).where(F.col("place") <= nprobe)

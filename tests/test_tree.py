@@ -60,3 +60,18 @@ def test_no_queries(spark):
     x = clustered(np.random.default_rng(5), 50, 4)
     fitted, held = tree.fit_tree(frame(spark, "item_id", range(50), x), 9)
     assert tree.knn_tree(frame(spark, "query_id", [], []), tree.assign_leaves(held, fitted), fitted).collect() == []
+
+
+def test_visits_of_a_part_are_bounded(spark, monkeypatch):
+    """Queries under a top are cut so that they cannot all visit all its leaves at once."""
+    rng = np.random.default_rng(6)
+    x = clustered(rng, 200, 6)
+    fitted, held = tree.fit_tree(frame(spark, "item_id", range(200), x), 36)
+    listed = tree.assign_leaves(held, fitted).checkpoint()
+    most = max(r["count"] for r in fitted.leaves.groupBy("top").count().collect())
+    asked, meet = [], tree._meet_leaves
+    monkeypatch.setattr(tree, "_PART_VISITS", 30)
+    monkeypatch.setattr(tree, "_meet_leaves", lambda *a: asked.append(a[-1]) or meet(*a))
+    got = rows_of(tree.knn_tree(frame(spark, "query_id", range(60), x[:60]), listed, fitted))
+    assert got == brute_force(range(60), x[:60], range(200), x, 5)
+    assert len(asked) == 2 and all(rows * most <= 30 for rows in asked)
