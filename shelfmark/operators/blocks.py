@@ -17,6 +17,8 @@ QUERY_TILE = 512
 ITEM_TILE = 4096
 BATCH_QUERIES = 2048
 RESCORE_VALUES = 1 << 21
+#: Numbers of vectors that are fingerprinted at once.
+PRINT_VALUES = 1 << 20
 EMIT_ROWS = 50_000
 #: Survivors per wanted result from which a query's whole tile is scored at once.
 CROWDED = 16
@@ -63,12 +65,18 @@ def same_vectors(vectors: np.ndarray) -> np.ndarray:
     n, width = rows.shape
     if n == 0 or width == 0:
         return np.zeros(n, np.int64)
-    words = rows.view(f"u{rows.dtype.itemsize}").astype(np.uint64) + np.uint64(1)
     mix = np.resize(_MIX, width) * (np.arange(width, dtype=np.uint64) // np.uint64(len(_MIX)) * np.uint64(2) + np.uint64(1))
-    prints = (words * mix) ^ ((words * mix) >> np.uint64(29))
-    prints = (prints * mix[::-1]).sum(axis=1, dtype=np.uint64)
+    # A few rows at a time: wide copies of all would take several times their room.
+    step = max(1, PRINT_VALUES // width)
+    parts = [slice(start, start + step) for start in range(0, n, step)]
+    prints = np.empty(n, np.uint64)
+    for part in parts:
+        words = (rows[part].view(f"u{rows.dtype.itemsize}").astype(np.uint64) + np.uint64(1)) * mix
+        words ^= words >> np.uint64(29)
+        words *= mix[::-1]
+        prints[part] = words.sum(axis=1, dtype=np.uint64)
     _, first, label = np.unique(prints, return_index=True, return_inverse=True)
-    if not np.array_equal(rows[first[label]].view(np.uint8), rows.view(np.uint8)):
+    if not all(np.array_equal(rows[first[label[part]]].view(np.uint8), rows[part].view(np.uint8)) for part in parts):
         # Two vectors share a fingerprint: compare whole rows.
         whole = rows.view(np.dtype((np.void, rows.dtype.itemsize * width))).ravel()
         _, first, label = np.unique(whole, return_index=True, return_inverse=True)
@@ -79,14 +87,14 @@ def same_vectors(vectors: np.ndarray) -> np.ndarray:
 def best_of_block(
     ids: np.ndarray, vectors: np.ndarray, items: tuple, k: int, metric: str, digits: int
 ) -> Iterator[pa.RecordBatch]:
-    """The k best of one block of items for a batch of queries, equal queries
-    compared once."""
+    """The k best of one block of items, which :func:`prepared` laid out, for a batch of
+    queries, equal queries compared once."""
     for start in range(0, len(ids), BATCH_QUERIES):
         asked, rows = ids[start : start + BATCH_QUERIES], vectors[start : start + BATCH_QUERIES]
         labels = same_vectors(rows)
         first = np.unique(labels, return_index=True)[1]
         best = TopK(asked[first], rows[first], k, metric, digits)
-        best.add(*items)
+        best.add_prepared(*items)
         best.ids, best.cost, best.item = asked, best.cost[labels], best.item[labels]
         yield best.result()
 
@@ -109,6 +117,15 @@ def drop_far_copies(ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.nd
     return ids[kept], vectors[kept]
 
 
+def prepared(ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, vectors and lengths of items as :meth:`TopK.add_prepared` takes them: copies
+    that cannot be among the k best left out, in order of the ids."""
+    ids, vectors = drop_far_copies(ids, vectors, k)
+    order = np.argsort(ids)  # so that among equals of a tile the first has the smallest id
+    ids, vectors = ids[order], vectors[order]
+    return ids, vectors, lengths_of(vectors)
+
+
 class TopK:
     """The k best items seen so far for each query of a block."""
 
@@ -124,16 +141,17 @@ class TopK:
         self.shut: np.ndarray | None = None
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        if len(ids) and len(self.ids):
+            self.add_prepared(*prepared(ids, vectors, self.k))
+
+    def add_prepared(self, ids: np.ndarray, vectors: np.ndarray, lengths: np.ndarray) -> None:
+        """:meth:`add` of items that were laid out for this k, once for many blocks."""
         if len(ids) == 0 or len(self.ids) == 0:
             return
         if vectors.shape[1] != self.vectors.shape[1]:
             raise ValueError(
                 f"query vectors have {self.vectors.shape[1]} dimensions, items {vectors.shape[1]}"
             )
-        ids, vectors = drop_far_copies(ids, vectors, self.k)
-        order = np.argsort(ids)  # so that among equals of a tile the first has the smallest id
-        ids, vectors = ids[order], vectors[order]
-        lengths = lengths_of(vectors)
         for q in range(0, len(self.ids), QUERY_TILE):
             for i in range(0, len(ids), ITEM_TILE):
                 chosen = slice(i, i + ITEM_TILE)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark import config
-from shelfmark.operators.blocks import TopK, best_of_block, same_vectors, vectors_of
+from shelfmark.operators.blocks import TopK, best_of_block, prepared, same_vectors, vectors_of
 from shelfmark.session import ensure_checkpoints, new_work_dir, released, share
 
 RESULT = "query_id bigint, item_id bigint, rank bigint, score double"
@@ -138,10 +138,13 @@ def _search_items_block(queries, items, k, metric, digits) -> DataFrame:
     block = share(queries.sparkSession, collect_block(items, "item_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for batch in batches:
             if batch.num_rows:
+                if held is None:
+                    held = prepared(*block.value, k)
                 ids, vectors = batch.column(0).to_numpy(), vectors_of(batch.column(1))
-                yield from best_of_block(ids, vectors, block.value, k, metric, digits)
+                yield from best_of_block(ids, vectors, held, k, metric, digits)
 
     return queries.mapInArrow(run, RESULT)
 

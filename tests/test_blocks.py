@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -100,3 +102,14 @@ def test_vector_checks():
         search([1], [[0.0, 0.0]], [1], [[0.0]], 1, "l2")
     with pytest.raises(ValueError):
         search([1], [[0.0]], [1], [[0.0]], 1, "manhattan")
+
+
+def test_copies_are_told_without_wide_copies_of_all():
+    x = np.random.default_rng(8).normal(size=(60_000, 64)).astype(np.float32)
+    x[30_000:] = x[:30_000]
+    tracemalloc.start()
+    labels = blocks.same_vectors(x)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(labels, np.tile(np.arange(30_000), 2))
+    assert most < 3 * x.nbytes
