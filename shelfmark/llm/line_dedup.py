@@ -33,7 +33,10 @@ from shelfmark.llm.common import key128, store
 
 WILD = "<*>"
 _TOKENS = "[ \\t-\\r]+"
-_VARIABLE = "[^ \\t-\\r]*[0-9][^ \\t-\\r]*"
+#: A token with a digit, looked for where tokens start alone.
+_VARIABLE = "(?<![^ \\t-\\r])[^ \\t-\\r0-9]*+[0-9][^ \\t-\\r]*+"
+#: Without these, and without two spaces in a row, a line is its tokens as they stand.
+_ODD = "[0-9<\\t-\\r]"
 
 
 @dataclass(frozen=True)
@@ -55,21 +58,42 @@ def _tokens(line: Column) -> Column:
     return F.array_remove(F.split(masked, _TOKENS), "")
 
 
+def _said(line: Column) -> Column:
+    """A line's tokens with a space between them, their number, and the number of those
+    without a digit: (said, size, constant). Most lines need not be cut for it."""
+
+    def laid(said: Column, size: Column, constant: Column) -> Column:
+        return F.struct(said.alias("said"), size.alias("size"), constant.alias("constant"))
+
+    def read(tokens: Column) -> Column:
+        return laid(F.array_join(tokens, " "), F.size(tokens), F.size(F.array_remove(tokens, WILD)))
+
+    plain = F.trim(line)
+    spaces = F.octet_length(plain) - F.octet_length(F.replace(plain, F.lit(" "), F.lit("")))
+    size = F.when(plain == "", 0).otherwise(spaces + 1)
+    odd = line.rlike(_ODD) | F.contains(line, F.lit("  "))
+    # The tokens are bound to a name once, by a transform of a single element; the constant
+    # of a plain line is its size.
+    cut = F.transform(F.array(_tokens(line)), read)[0]
+    return F.when(odd, cut).otherwise(laid(plain, size, F.lit(None).cast("int")))
+
+
 def _hashes(name: str, *columns: Column) -> list[Column]:
     return [c.alias(f"{name}_{side}") for c, side in zip(key128(*columns), "ab")]
 
 
 def _lines(docs: DataFrame, settings: Settings) -> DataFrame:
-    """Lines with words: the document's key, doc_id, line, size, tokens, leaf and shape."""
+    """Lines with words: the document's key, doc_id, line, size, leaf and shape."""
+    # Hashed before the lines part, once for a document.
+    docs = docs.select("doc_id", "text", *_hashes("doc", F.col("doc_id"), F.col("text")))
     # Parsed inside the generator, so that no filter parses them again.
-    parsed = F.posexplode(F.transform(F.split("text", "\n"), _tokens)).alias("line", "tokens")
-    lines = docs.select("doc_id", *_hashes("doc", F.col("doc_id"), F.col("text")), parsed)
-    constant = F.size(F.array_remove("tokens", WILD))
-    lines = lines.where((F.size("tokens") > 0) & (constant >= settings.constant * F.size("tokens")))
+    lines = docs.select("doc_id", "doc_a", "doc_b", F.posexplode(F.transform(F.split("text", "\n"), _said)).alias("line", "x"))
+    lines = lines.select("doc_id", "doc_a", "doc_b", "line", "x.*")
+    constant = F.coalesce("constant", "size")
+    lines = lines.where((F.col("size") > 0) & (constant >= settings.constant * F.col("size")))
+    lead = F.substring_index("said", " ", settings.depth) if settings.depth else F.lit("")
     return lines.select(
-        "*", F.size("tokens").alias("size"),
-        *_hashes("leaf", F.size("tokens"), F.slice("tokens", 1, settings.depth)),
-        *_hashes("shape", F.col("tokens")),
+        "doc_id", "doc_a", "doc_b", "line", "size", *_hashes("leaf", F.col("size"), lead), *_hashes("shape", F.col("said"))
     )
 
 
@@ -170,7 +194,7 @@ def _roots(links: DataFrame) -> DataFrame:
 
 def line_templates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Every line with its template: doc_id, doc_a, doc_b, line, size, template_a, template_b."""
-    narrow = store(_lines(docs, settings).drop("tokens"), "lines")
+    narrow = store(_lines(docs, settings), "lines")
     shapes = narrow.where(F.col("size") >= settings.min_tokens).groupBy(*_LEAF, *_SHAPE).agg(
         F.negative(F.count(F.lit(1))).alias("rank"), F.min(F.struct("doc_id", "line", *_DOC)).alias("place")
     )

@@ -170,3 +170,17 @@ def test_native_plans(spark, messy):
     ):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan), name
+
+
+def test_a_line_is_cut_only_where_it_is_odd(spark):
+    texts = [" a b ", "a b", "a\tb", "a  b", "\x0ba b\r", "", " ", "\t", "a1 <*> b", "<*> b <*>c", "x9\x0c9 9", "é ü a<b 1é2", "a b"]
+    settings = line_dedup.Settings(min_tokens=1, constant=0.0)
+    lines = line_dedup._lines(documents(spark, texts), settings)
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert "text#" not in plan.split("Generate")[0]  # a text is hashed once, not for each of its lines
+    got = {r["doc_id"]: r for r in lines.collect()}
+    tokens = [tuple("<*>" if re.search("[0-9]", t) else t for t in re.findall(r"[^ \t-\r]+", x)) for x in texts]
+    assert {i: r["size"] for i, r in got.items()} == {i: len(t) for i, t in enumerate(tokens) if t}
+    for name, key in (("shape", lambda t: t), ("leaf", lambda t: (len(t), t[:3]))):
+        pairs = {(key(tokens[i]), (r[f"{name}_a"], r[f"{name}_b"])) for i, r in got.items()}
+        assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
