@@ -19,13 +19,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.operators.blocks import vectors_of
 from shelfmark.operators.encode import _list_column
 from shelfmark.operators.pairs import complete_pairs
-from shelfmark.operators.training import shuffled_batches
+from shelfmark.operators.training import order_key, shuffled_batches
 from shelfmark.session import new_work_dir, released, share
 
 _EMIT_ROWS = 50_000
@@ -126,6 +126,30 @@ def principal_map(pairs: DataFrame, rank: int) -> np.ndarray:
     return found * signs[:, None]
 
 
+def _steps(ids: DataFrame, training: Training) -> tuple[Column, int]:
+    """The step that a pair's batch belongs to, as a column of its ``_key`` and ``id``, and the
+    number of batches.
+
+    Batches follow the shuffled order, so a step is a range of it: the driver gets the
+    first row of each step, and no pair is joined with its place.
+    """
+    ordered = shuffled_batches(ids, "id", seed=training.seed).select("id", "position", "batch_id")
+    path = new_work_dir(ids.sparkSession, "order")
+    ordered.write.parquet(path)
+    ordered = ids.sparkSession.read.schema(ordered.schema).parquet(path)
+    batches = (ordered.agg(F.max("batch_id")).first()[0] or 0) + 1
+    step = F.floor(F.col("batch_id") * training.steps / F.lit(batches)).cast("int")
+    place = F.struct("_key", "id")
+    keyed = ordered.select("id", step.alias("step"), order_key("id", training.seed).alias("_key"))
+    # At most one row for each step.
+    first = keyed.groupBy("step").agg(F.min(place).alias("first")).orderBy("step").collect()
+    found = F.lit(first[0]["step"] if first else 0)
+    for row in first[1:]:
+        start = F.struct(F.lit(row["first"][0]), F.lit(row["first"][1]).cast(ids.schema["id"].dataType))
+        found = F.when(place >= start, F.lit(row["step"])).otherwise(found)
+    return found, batches
+
+
 def fit_projection(pairs: DataFrame, rank: int, training: Training = Training()) -> np.ndarray:
     """The map (rank, dim) fitted to ``pairs`` (id, query_vec, item_vec, score).
 
@@ -133,13 +157,11 @@ def fit_projection(pairs: DataFrame, rank: int, training: Training = Training())
     """
     pairs = usable_pairs(pairs)
     spark = pairs.sparkSession
-    ordered = shuffled_batches(pairs.select("id"), "id", seed=training.seed).select("id", "batch_id")
-    batches = (ordered.agg(F.max("batch_id")).first()[0] or 0) + 1
-    step = F.floor(F.col("batch_id") * training.steps / F.lit(batches)).cast("int").alias("step")
+    step, batches = _steps(pairs.select("id"), training)
     path = new_work_dir(spark, "steps")
-    pairs.join(ordered.select("id", step), "id").select("query_vec", "item_vec", "score", "step").write.partitionBy(
-        "step"
-    ).parquet(path)
+    # Pairs get their step where they lie; a folder takes a file from each task.
+    keyed = pairs.select("id", "query_vec", "item_vec", "score", order_key("id", training.seed).alias("_key"))
+    keyed.select("query_vec", "item_vec", "score", step.alias("step")).write.partitionBy("step").parquet(path)
     stored = spark.read.parquet(path)
     matrix = principal_map(stored, rank)
     first, second = np.zeros_like(matrix), np.zeros_like(matrix)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.session import new_work_dir
@@ -20,6 +20,11 @@ def training_examples(pairs: DataFrame, *keep: str) -> DataFrame:
     )
 
 
+def order_key(id_col: str, seed: int) -> Column:
+    """What examples are shuffled by; the id parts those that share it."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
+
+
 def shuffled_batches(
     examples: DataFrame, id_col: str, *, seed: int = 42, batch_size: int = 16
 ) -> DataFrame:
@@ -36,8 +41,7 @@ def shuffled_batches(
     path = new_work_dir(examples.sparkSession, "examples")
     examples.write.parquet(path)
     examples = examples.sparkSession.read.schema(examples.schema).parquet(path)
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
-    keyed = examples.withColumn("_key", key).withColumn(
+    keyed = examples.withColumn("_key", order_key(id_col, seed)).withColumn(
         "_slot", F.substring("_key", 1, SLOT_DIGITS)
     )
     before = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)

@@ -92,3 +92,27 @@ def test_a_projected_index_is_searched_by_path(spark, tmp_path):
     assert sorted(map(tuple, open_search(spark, path)(asked, 2).collect())) == sorted(map(tuple, want.collect()))
     with pytest.raises(ValueError, match="the map takes"):
         ProjectedEncoder.of(HashedEncoder(8), matrix)
+
+
+def test_pairs_that_share_an_id_are_fitted_once_each(spark, monkeypatch):
+    """Pairs keep their number, and batches their order, whether or not ids repeat."""
+    rng = np.random.default_rng(5)
+    seen = []
+
+    def counted(pairs, matrix):
+        seen.append(sorted(r.score for r in pairs.collect()))
+        return np.zeros_like(matrix), 0.0, len(seen[-1])
+
+    monkeypatch.setattr(projection, "gradient", counted)
+    training = projection.Training(steps=4, epochs=1)
+    for repeated in (1, 3):
+        rows = [(i // repeated, 0, rng.normal(size=3).tolist(), rng.normal(size=3).tolist(), float(i)) for i in range(240)]
+        pairs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+        del seen[:]
+        projection.fit_projection(pairs, 2, training)
+        assert sorted(x for part in seen for x in part) == [float(i) for i in range(240)]
+        assert len(seen) == 4 and max(map(len, seen)) - min(map(len, seen)) <= 32
+        if repeated == 1:
+            placed = projection.shuffled_batches(pairs.select("id"), "id").collect()
+            steps = {float(r.id): r.batch_id * 4 // 15 for r in placed}
+            assert [{steps[x] for x in part} for part in seen] == [{0}, {1}, {2}, {3}]
