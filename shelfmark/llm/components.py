@@ -43,6 +43,7 @@ def components(links: DataFrame, settled: int = SETTLED) -> DataFrame:
     smallest id it knows, until each id is linked to its component alone. Minima are
     combined before they are shuffled, so an id with many links is no burden. A table of
     at most ``settled`` links takes one task instead, with the same result.
+    With ``settled`` below 0 none does, and ids may be of any type that can be ordered.
     """
     down = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     down = store(down.distinct(), "links")

@@ -2,16 +2,22 @@
 
 A line is parsed like a log line. Tokens with a digit become ``<*>``. The tree has a
 fixed depth: first the number of tokens, then the leading tokens; lines that reach the
-same leaf are candidates for one template. A leaf holds any number of templates: each
-line shape joins the commonest shape it resembles (the earliest of equally common ones),
-that one in turn what it resembles, and shapes that lead to the same one are a template.
+same leaf are candidates for one template. A leaf holds any number of templates: shapes
+of a leaf that resemble each other, and what these resemble in turn, are a template.
 Shapes resemble each other if enough of their tokens are equal, place by place; the
 places where they differ are the template's variable fields.
 
 Candidates. Shapes of n tokens may differ in d places. The places after the leading
 tokens are dealt into d + 1 bands, so two shapes that resemble each other agree in one
-band at least; a shape meets the commonest shape that has its tokens in a band, and the
-commonest that has its tokens in all bands but one. Bands are compared as hashes.
+band at least. Bands are compared as hashes. First, a shape meets the commonest shape
+that has its tokens in a band, and the commonest that has its tokens in all bands but
+one, which connects most of what is alike.
+
+Then what agrees in a band and is still apart is compared: all members outside the
+band's largest template with all others. A crowd, where these are many, is first split:
+the places where its members differ are dealt into d + 1 bands again, in one of which
+two that resemble each other agree, and each of its members meets the first of its part.
+Parts that still hold several templates go the same way, so no link is left out.
 
 A template found in ``min_documents`` documents or more is boilerplate: its first line,
 by (doc_id, line), stays and all others are dropped. Lines under ``min_tokens`` tokens
@@ -30,8 +36,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import key128, store
+from shelfmark.llm.components import components
 
 WILD = "<*>"
+#: Members outside a group's largest template that are compared with all others of it,
+#: for each band: more are a crowd.
+CROWD = 16
+#: Times that a crowd is split before its parts are compared as they are.
+SPLITS = 4
+#: Members that one part of a comparison holds of the side that is dealt over parts.
+PART = 1024
 _TOKENS = "[ \\t-\\r]+"
 #: A token with a digit, looked for where tokens start alone.
 _VARIABLE = "(?<![^ \\t-\\r])[^ \\t-\\r0-9]*+[0-9][^ \\t-\\r]*+"
@@ -98,6 +112,7 @@ def _lines(docs: DataFrame, settings: Settings) -> DataFrame:
 
 
 _LEAF, _SHAPE, _DOC = ("leaf_a", "leaf_b"), ("shape_a", "shape_b"), ("doc_a", "doc_b")
+_BAND = ("band_a", "band_b")
 
 
 def _shape_tokens(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -148,24 +163,41 @@ def _bands(settings: Settings) -> Column:
     return F.transform(F.transform(F.array(hashed), banded), named)[0]
 
 
-def _resembled(held: DataFrame, settings: Settings) -> DataFrame:
-    """For each of the shapes that resembles a commoner one: the shape, and as up_a, up_b
-    the commonest that it meets."""
-    found = held.select(*_LEAF, *_SHAPE, "rank", "place", "tokens", F.explode(_bands(settings)).alias("band"))
-    found = found.select(*_SHAPE, *_hashes("band", F.col("leaf_a"), F.col("leaf_b"), F.col("band")), "rank", "place")
+def _shared(held: DataFrame, settings: Settings) -> DataFrame:
+    """The bands that several shapes have: the shape, the band's key, whether it is one
+    band (not all but one), and as head the commonest shape that has it."""
+    found = held.select(*_LEAF, *_SHAPE, "rank", "place", F.explode(_bands(settings)).alias("band"))
+    found = found.select(
+        *_SHAPE, *_hashes("band", F.col("leaf_a"), F.col("leaf_b"), F.col("band")),
+        (F.col("band.at") >= 0).alias("single"), "rank", "place",
+    )
     found = store(found, "bands")
     best = F.min(F.struct("rank", "place", *_SHAPE)).alias("head")
-    heads = found.groupBy("band_a", "band_b").agg(F.count(F.lit(1)).alias("shapes"), best)
+    heads = found.groupBy(*_BAND).agg(F.count(F.lit(1)).alias("shapes"), best)
     heads = store(heads.where("shapes > 1").drop("shapes"), "heads")
-    met = found.join(heads, ["band_a", "band_b"]).where("head.shape_a <> shape_a or head.shape_b <> shape_b")
-    met = met.select(*_SHAPE, "head").distinct()
+    return store(found.drop("rank", "place").join(heads, [*_BAND]), "shared")
+
+
+def _equal(settings: Settings) -> Column:
+    """Whether ``tokens`` and ``model``, of one length, are equal in enough places."""
+    equal = F.size(F.filter(F.zip_with("tokens", "model", lambda a, b: a == b), lambda same: same))
+    return equal >= F.lit(settings.similarity) * F.size("model")
+
+
+def _alike(met: DataFrame, held: DataFrame, settings: Settings) -> DataFrame:
+    """The rows of ``met`` (a shape, and another as head) that resemble each other."""
+    met = met.withColumns({"up_a": F.col("head.shape_a"), "up_b": F.col("head.shape_b")})
     tokens = held.select(*_SHAPE, "tokens")
     models = held.select(F.col("shape_a").alias("up_a"), F.col("shape_b").alias("up_b"), F.col("tokens").alias("model"))
-    met = met.select(*_SHAPE, "head", F.col("head.shape_a").alias("up_a"), F.col("head.shape_b").alias("up_b"))
-    equal = F.size(F.filter(F.zip_with("tokens", "model", lambda a, b: a == b), lambda same: same))
     like = met.join(tokens, [*_SHAPE]).join(models, ["up_a", "up_b"])
-    like = like.where(equal >= F.lit(settings.similarity) * F.size("model"))
-    return like.groupBy(*_SHAPE).agg(F.min("head").alias("head")).select(
+    return like.where(_equal(settings)).drop("up_a", "up_b", "tokens", "model")
+
+
+def _resembled(shared: DataFrame, held: DataFrame, settings: Settings) -> DataFrame:
+    """For each of the shapes that resembles a commoner one: the shape, and as up_a, up_b
+    the commonest that it meets."""
+    met = shared.where("head.shape_a <> shape_a or head.shape_b <> shape_b").select(*_SHAPE, "head").distinct()
+    return _alike(met, held, settings).groupBy(*_SHAPE).agg(F.min("head").alias("head")).select(
         *_SHAPE, F.col("head.shape_a").alias("up_a"), F.col("head.shape_b").alias("up_b")
     )
 
@@ -192,6 +224,83 @@ def _roots(links: DataFrame) -> DataFrame:
             return links
 
 
+def _compared(members: DataFrame, settings: Settings) -> DataFrame:
+    """Templates (a, b) that ``members`` of one group connect: all members outside the
+    group's largest template are compared with all of it."""
+    parts = F.ceil(F.col("apart") / PART)
+    one = members.where("up <> largest").select(
+        *_BAND, F.pmod(F.xxhash64(*_SHAPE), parts).alias("part"), F.col("up").alias("a"), "tokens"
+    )
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("part")
+    other = members.select(*_BAND, every, F.col("up").alias("b"), F.col("tokens").alias("model"))
+    met = one.join(other, [*_BAND, "part"]).where(F.col("a") != F.col("b"))
+    return met.where(_equal(settings)).select("a", "b").distinct()
+
+
+def _split(crowds: DataFrame, bands: Column) -> DataFrame:
+    """Groups of ``crowds`` by the tokens in each of ``bands`` parts of the places where
+    a crowd's members differ: the shape, its template and the new group's key."""
+    tokens = crowds.select(*_BAND, F.posexplode("tokens").alias("at", "token"))
+    differ = tokens.groupBy(*_BAND, "at").agg(F.min("token").alias("least"), F.max("token").alias("most"))
+    differ = differ.where("least <> most").groupBy(*_BAND).agg(F.sort_array(F.collect_list("at")).alias("places"))
+    parts = F.explode(F.sequence(F.lit(0), bands - 1)).alias("part")
+    dealt = crowds.join(differ, [*_BAND]).select(*_SHAPE, "up", *_BAND, "tokens", "places", bands.alias("bands"), parts)
+    own = F.filter("places", lambda place, i: F.pmod(i, F.col("bands")) == F.col("part"))
+    said = F.transform(own, lambda place: F.get("tokens", place))
+    return dealt.select(*_SHAPE, "up", *_hashes("band", F.col("band_a"), F.col("band_b"), F.col("part"), said))
+
+
+def _completed(roots: DataFrame, shared: DataFrame, held: DataFrame, settings: Settings) -> DataFrame:
+    """``roots`` (shape to its template's) with all templates joined that hold two shapes
+    which resemble each other."""
+    size = F.size("tokens")
+    bands = size - F.ceil(F.lit(settings.similarity) * size).cast("int") + 1
+    groups = shared.where("single").select(*_SHAPE, *_BAND)
+    for split in range(SPLITS + 1):
+        up = F.struct(F.coalesce("up_a", "shape_a").alias("a"), F.coalesce("up_b", "shape_b").alias("b"))
+        groups = groups.join(roots, [*_SHAPE], "left").select(*_SHAPE, *_BAND, up.alias("up"))
+        cells = groups.groupBy(*_BAND, "up").agg(F.count(F.lit(1)).alias("members"))
+        spread = cells.groupBy(*_BAND).agg(
+            F.count(F.lit(1)).alias("templates"), F.max_by("up", "members").alias("largest"),
+            (F.sum("members") - F.max("members")).alias("apart"),
+        )
+        spread = spread.where("templates > 1").drop("templates")
+        members = store(groups.join(spread, [*_BAND]).join(held.select(*_SHAPE, "tokens"), [*_SHAPE]), "apart")
+        if members.isEmpty():
+            break
+        crowded = (F.col("apart") > CROWD * bands) if split < SPLITS else F.lit(False)
+        links = _compared(members.where(~crowded), settings)
+        crowds = members.where(crowded)
+        last = crowds.isEmpty()
+        if not last:
+            groups = store(_split(crowds, bands), "groups")
+            heads = groups.groupBy(*_BAND).agg(
+                F.min(F.struct(*_SHAPE, "up")).alias("head"), F.min("up").alias("least"), F.max("up").alias("most")
+            )
+            heads = heads.where("least <> most").select(*_BAND, "head")
+            met = groups.join(heads, [*_BAND]).where("head.up <> up").select(*_SHAPE, "up", "head").distinct()
+            alike = _alike(met, held, settings).select(F.col("up").alias("a"), F.col("head.up").alias("b"))
+            links = links.union(alike)
+            groups = groups.drop("up")
+        links = store(links, "links")
+        if not links.isEmpty():
+            # Below 0, all in DataFrame operations.
+            joined = components(links, settled=-1)
+            joined = store(joined.where("id <> component"), "joined")
+            moved = roots.join(joined, F.struct(F.col("up_a").alias("a"), F.col("up_b").alias("b")) == F.col("id"), "left")
+            moved = moved.select(
+                *_SHAPE, F.coalesce("component.a", "up_a").alias("up_a"), F.coalesce("component.b", "up_b").alias("up_b")
+            )
+            ends = joined.select(
+                F.col("id.a").alias("shape_a"), F.col("id.b").alias("shape_b"),
+                F.col("component.a").alias("up_a"), F.col("component.b").alias("up_b"),
+            )
+            roots = store(moved.union(ends), "roots")
+        if last:
+            break
+    return roots
+
+
 def line_templates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Every line with its template: doc_id, doc_a, doc_b, line, size, template_a, template_b."""
     narrow = store(_lines(docs, settings), "lines")
@@ -203,7 +312,8 @@ def line_templates(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     mixed = leaves.where("shapes > 1").select(*_LEAF)
     wanted = shapes.join(mixed, [*_LEAF]).select(*_LEAF, *_SHAPE, "rank", "place", "place.doc_a", "place.doc_b")
     held = store(_shape_tokens(docs, wanted), "shapes")
-    roots = _roots(_resembled(held, settings))
+    shared = _shared(held, settings)
+    roots = _completed(_roots(_resembled(shared, held, settings)), shared, held, settings)
     placed = narrow.join(roots, [*_SHAPE], "left")
     template = [F.coalesce(f"up_{s}", f"shape_{s}").alias(f"template_{s}") for s in "ab"]
     return placed.select("doc_id", *_DOC, "line", "size", *template)

@@ -3,6 +3,7 @@
 import math
 import re
 from collections import Counter
+from random import Random
 
 from shelfmark.llm import license_scan, line_dedup, quality
 
@@ -135,6 +136,47 @@ def test_a_leaf_holds_several_templates(spark):
         assert templates_in_python(texts, line_dedup.Settings()) == {(d, 0) for d, n in dropped.items() if n}
 
 
+def drops_of_all_links(texts, settings):
+    """Documents of one line each that lose it, where all pairs of shapes are compared."""
+    shapes = {}
+    for doc_id, text in enumerate(texts):
+        shapes.setdefault(tuple(text.split()), []).append(doc_id)
+    names = {shape: shape for shape in shapes}
+    for one in shapes:
+        for other in shapes:
+            if len(one) == len(other) and one[: settings.depth] == other[: settings.depth]:
+                if sum(a == b for a, b in zip(one, other)) >= settings.similarity * len(one):
+                    old, new = names[one], names[other]
+                    names = {shape: new if name == old else name for shape, name in names.items()}
+    found = {}
+    for shape, places in shapes.items():
+        found.setdefault(names[shape], []).extend(places)
+    return {d: 1 for places in found.values() if len(places) >= settings.min_documents for d in places if d != min(places)}
+
+
+def test_no_link_of_a_leaf_is_left_out(spark, monkeypatch):
+    # Two words vary and one may: all is connected, but most shapes do not resemble the commonest.
+    grid = [f"posted by the editor {a}{b} this {day}" for a in "abcd" for b in "efg" for day in "uvwxyz"]
+    # Sparse links among shapes that share common words, for several numbers of tokens.
+    random = Random(7)
+    sparse = [
+        " ".join(["it", "was", "the", *(random.choice(words) for _ in range(n - 3))])
+        for n, words, times in ((6, "pqrstuvw", 60), (8, "pqrstu", 60), (9, "pqrst", 60), (13, "pqr", 60)) for _ in range(times)
+    ]
+    texts = grid + sparse
+    settings = line_dedup.Settings()
+    want = drops_of_all_links(texts, settings)
+    assert sum(d in want for d in range(len(grid))) == len(grid) - 1
+    assert 0 < sum(d >= len(grid) for d in want) < len(sparse) - 4
+    # As registered, and all groups split once, then compared in parts of few members.
+    for crowd, splits, part in ((line_dedup.CROWD, line_dedup.SPLITS, line_dedup.PART), (0, 1, 3)):
+        monkeypatch.setattr(line_dedup, "CROWD", crowd)
+        monkeypatch.setattr(line_dedup, "SPLITS", splits)
+        monkeypatch.setattr(line_dedup, "PART", part)
+        dropped = dropped_by_spark(spark, texts)
+        assert {d: n for d, n in dropped.items() if n} == want
+
+
 def test_short_lines_go_by_a_higher_count(spark):
     texts = [f"{prose(i, 20)}\nAll rights reserved." + "\nThe end" * (i < 19) for i in range(25)]
     dropped = dropped_by_spark(spark, texts)
