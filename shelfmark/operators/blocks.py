@@ -8,13 +8,17 @@ number of places and ordered by (score, item id).
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
 QUERY_TILE = 512
 ITEM_TILE = 4096
+#: Items whose products with a tile of queries are made at a time, to stay in a core's cache.
+STRIP = 512
 BATCH_QUERIES = 2048
 RESCORE_VALUES = 1 << 21
 #: Numbers of vectors that are fingerprinted at once.
@@ -126,6 +130,68 @@ def prepared(ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndarray,
     return ids, vectors, lengths_of(vectors)
 
 
+class _Scratch(threading.local):
+    """Room for the products of a strip and what they reach, used again for the next:
+    fresh pages for each would take about as long as filling them."""
+
+    def __init__(self):
+        self.held: dict[str, np.ndarray] = {}
+
+    def room(self, name: str, shape: tuple[int, int], kind: type) -> np.ndarray:
+        size = shape[0] * shape[1]
+        held = self.held.get(name)
+        if held is None or held.dtype != kind or held.size < size:
+            held = self.held[name] = np.empty(size, kind)
+        return held[:size].reshape(shape)
+
+
+_scratch = _Scratch()
+
+
+def screened(left: np.ndarray, right: np.ndarray, least: np.ndarray, name: str) -> np.ndarray:
+    """Which products of a row of ``left`` and one of ``right`` reach ``least`` of the
+    former. They stand in room that the next call under ``name`` takes again."""
+    kind = left.dtype.type
+    near = _scratch.room(name, (len(left), len(right)), np.bool_)
+    with np.errstate(invalid="ignore", over="ignore"):
+        # Rounded down, so that nothing is lost to fewer bits.
+        floor = np.nextafter(least.astype(kind), kind(-np.inf))[:, None]
+        for start in range(0, len(right), STRIP):
+            part = right[start : start + STRIP]
+            products = np.matmul(left, part.T, out=_scratch.room("products", (len(left), len(part)), kind))
+            np.greater_equal(products, floor, out=near[:, start : start + STRIP])
+    return near
+
+
+def chosen(near: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows and columns of what is true in ``near``, but for the rows that have more than
+    ``most``, which come third."""
+    width = near.shape[1]
+    if np.count_nonzero(near) * 64 > near.size:
+        counts = near.sum(axis=1)
+        crowded = np.flatnonzero(counts > most)
+        near[crowded] = False
+        row, col = np.divmod(np.flatnonzero(near), width)
+        return row, col, crowded
+    row, col = np.divmod(np.flatnonzero(near), width)
+    counts = np.bincount(row, minlength=len(near))
+    crowded = np.flatnonzero(counts > most)
+    if len(crowded):
+        few = counts[row] <= most
+        row, col = row[few], col[few]
+    return row, col, crowded
+
+
+@dataclass(frozen=True)
+class Tile:
+    """Items laid out for the screen: the rows of ``right`` times those of the queries."""
+
+    ids: np.ndarray
+    vectors: np.ndarray
+    lengths: np.ndarray
+    right: np.ndarray
+
+
 class TopK:
     """The k best items seen so far for each query of a block."""
 
@@ -137,8 +203,7 @@ class TopK:
         self.cost = np.full((len(ids), k), np.inf)
         self.item = np.full((len(ids), k), NO_ITEM, dtype=np.int64)
         self.lengths = lengths_of(vectors)
-        #: (queries, items) of the tile at hand that must not meet, if any.
-        self.shut: np.ndarray | None = None
+        self.longest = self.lengths.max(initial=0.0)
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         if len(ids) and len(self.ids):
@@ -152,71 +217,90 @@ class TopK:
             raise ValueError(
                 f"query vectors have {self.vectors.shape[1]} dimensions, items {vectors.shape[1]}"
             )
-        for q in range(0, len(self.ids), QUERY_TILE):
-            for i in range(0, len(ids), ITEM_TILE):
-                chosen = slice(i, i + ITEM_TILE)
-                self._tile(slice(q, q + QUERY_TILE), ids[chosen], vectors[chosen], lengths[chosen])
-
-    def _tile(self, block: slice, ids, vectors, lengths) -> None:
-        low, slack = self._screen(block, vectors, lengths)
-        limit = self.cost[block, -1].copy()
-        if low.shape[1] >= self.k and not np.all(np.isfinite(limit)):
-            near = np.argpartition(low, self.k - 1, axis=1)[:, : self.k]
-            high = np.take_along_axis(low, near, axis=1) + slack(near)
-            limit = np.fmin(limit, high.max(axis=1))
-        near = low <= (limit + 10.0**-self.digits)[:, None]
-        crowded = np.flatnonzero(near.sum(axis=1) > CROWDED * self.k)
-        near[crowded] = False
-        row, col = np.nonzero(near)
-        if len(row):
-            cost = self._rescore(block, vectors, lengths, row, col)
-            self._merge(block, row, cost, ids[col])
-        if len(crowded):
-            row, col, cost = self._best_of_crowd(block, crowded, vectors, lengths)
-            self._merge(block, row, cost, ids[col])
-
-    def _screen(self, block: slice, vectors, lengths):
-        """Lower bounds on the cost, and the gap to the upper bounds."""
-        q, q_len = self.vectors[block], self.lengths[block]
-        largest = max(q_len.max(initial=0.0), lengths.max(initial=0.0))
-        kind = np.float32 if largest < 1e15 else np.float64
-        unit = (q.shape[1] + 16) * float(np.finfo(kind).eps)
+        for i in range(0, len(ids), ITEM_TILE):
+            part = slice(i, i + ITEM_TILE)
+            tile = self._laid(ids[part], vectors[part], lengths[part])
+            for q in range(0, len(self.ids), QUERY_TILE):
+                self._tile(np.arange(q, min(q + QUERY_TILE, len(self.ids))), tile)
+
+    def _laid(self, ids: np.ndarray, vectors: np.ndarray, lengths: np.ndarray) -> Tile:
+        kind = kind_for(self.longest, lengths.max(initial=0.0))
         if self.metric == "cosine":
             with np.errstate(divide="ignore", invalid="ignore"):
-                a = (q / q_len[:, None]).astype(kind)
-                b = (vectors / lengths[:, None]).astype(kind)
-                low = -(a @ b.T) - kind(2 * unit)
-            return low, lambda near: 4 * unit
-        q_sq, i_sq = (q_len**2).astype(kind), (lengths**2).astype(kind)
-        low = q.astype(kind, copy=False) @ vectors.astype(kind, copy=False).T
-        low *= kind(-2)
-        low += q_sq[:, None] * kind(1 - 2 * unit)
-        low += i_sq[None, :] * kind(1 - 2 * unit)
-        return low, lambda near: 4 * unit * (q_sq[:, None] + i_sq[near])
-
-    def _rescore(self, block: slice, vectors, lengths, row, col) -> np.ndarray:
-        q, q_len = self.vectors[block], self.lengths[block]
+                return Tile(ids, vectors, lengths, (vectors / lengths[:, None]).astype(kind))
+        # Half an item's square comes with the product, as one more dimension.
+        right = np.empty((len(ids), vectors.shape[1] + 1), kind)
+        right[:, :-1] = vectors
+        right[:, -1] = lengths**2 * (unit_of(vectors.shape[1], kind) - 0.5)
+        return Tile(ids, vectors, lengths, right)
+
+    def _tile(self, rows: np.ndarray, tile: Tile, open_: np.ndarray | None = None) -> None:
+        """Queries ``rows`` against a tile; with ``open_`` (rows, items) only what it allows."""
+        kind, dim = tile.right.dtype.type, self.vectors.shape[1]
+        unit = unit_of(dim, kind)
+        q, q_len = self.vectors[rows], self.lengths[rows]
+        if self.metric == "cosine":
+            with np.errstate(divide="ignore", invalid="ignore"):
+                left = (q / q_len[:, None]).astype(kind)
+        else:
+            left = np.ones((len(rows), dim + 1), kind)
+            left[:, :dim] = q
+        limit = self.cost[rows, -1]
+        fresh = np.flatnonzero(~np.isfinite(limit))
+        if len(fresh) and len(tile.ids) >= self.k:
+            # No k items are known yet: the k best of this tile bound the cost.
+            with np.errstate(invalid="ignore", over="ignore"):
+                low = -(left[fresh] @ tile.right.T)
+            if open_ is not None:
+                low[~open_[fresh]] = np.inf
+            best = np.argpartition(low, self.k - 1, axis=1)[:, : self.k]
+            high = np.take_along_axis(low, best, axis=1).astype(np.float64)
+            if self.metric == "cosine":
+                high += 2 * unit
+            else:
+                size = q_len[fresh, None] ** 2
+                high = size * (1 - 2 * unit) + 2 * high + 4 * unit * (size + tile.lengths[best] ** 2)
+            limit[fresh] = np.fmin(limit[fresh], high.max(axis=1))
+        near = screened(left, tile.right, self._least(limit, q_len, unit), "items")
+        if open_ is not None:
+            near &= open_
+        row, col, crowded = chosen(near, CROWDED * self.k)
+        if len(row):
+            cost = self._rescore(rows[row], tile.vectors, tile.lengths, col)
+            self._merge(rows[row], cost, tile.ids[col])
+        if len(crowded):
+            row, col, cost = self._best_of_crowd(
+                rows[crowded], tile.vectors, tile.lengths, None if open_ is None else open_[crowded]
+            )
+            self._merge(row, cost, tile.ids[col])
+
+    def _least(self, limit: np.ndarray, q_len: np.ndarray, unit: float) -> np.ndarray:
+        """The least product of an item that may cost ``limit`` at most, rounding included."""
+        limit = limit + 10.0**-self.digits
+        return -limit - 2 * unit if self.metric == "cosine" else (q_len**2 * (1 - 2 * unit) - limit) / 2
+
+    def _rescore(self, row: np.ndarray, vectors, lengths, col) -> np.ndarray:
         cost = np.empty(len(row))
-        step = max(1, RESCORE_VALUES // q.shape[1])
+        step = max(1, RESCORE_VALUES // vectors.shape[1])
         for s in range(0, len(row), step):
             r, c = row[s : s + step], col[s : s + step]
-            a, b = q[r].astype(np.float64), vectors[c].astype(np.float64)
+            a, b = self.vectors[r].astype(np.float64), vectors[c].astype(np.float64)
             if self.metric == "cosine":
-                score = np.einsum("nd,nd->n", a, b) / (q_len[r] * lengths[c])
+                score = np.einsum("nd,nd->n", a, b) / (self.lengths[r] * lengths[c])
                 cost[s : s + step] = -self._rounded(score)
             else:
                 a -= b
                 cost[s : s + step] = self._rounded(np.einsum("nd,nd->n", a, a))
         return cost
 
-    def _best_of_crowd(self, block: slice, rows, vectors, lengths):
+    def _best_of_crowd(self, rows, vectors, lengths, open_):
         """The k best of a tile for queries that many items tie on, such as a query
         without any word, which is as far from every item.
 
         One product in double gives all scores. Only a score whose error could
         carry it over a rounding edge is worked out again by the direct formula.
         """
-        q, q_len = self.vectors[block][rows].astype(np.float64), self.lengths[block][rows]
+        q, q_len = self.vectors[rows].astype(np.float64), self.lengths[rows]
         score = q @ vectors.astype(np.float64).T
         unit = 4 * (q.shape[1] + 16) * np.finfo(np.float64).eps
         if self.metric == "cosine":
@@ -233,11 +317,11 @@ class TopK:
         if self.metric == "cosine":
             cost = -cost
         at, col = np.nonzero(unsure)
-        cost[at, col] = self._rescore(block, vectors, lengths, rows[at], col)
+        cost[at, col] = self._rescore(rows[at], vectors, lengths, col)
         cost[np.isnan(cost)] = np.inf
-        if self.shut is not None:
-            cost[self.shut[rows]] = np.inf
-        pick = cost <= self.cost[block, -1][rows][:, None]
+        if open_ is not None:
+            cost[~open_] = np.inf
+        pick = cost <= self.cost[rows, -1][:, None]
         if cost.shape[1] > self.k:
             last = np.partition(cost, self.k - 1, axis=1)[:, self.k - 1 : self.k]
             equal = cost == last
@@ -249,18 +333,16 @@ class TopK:
     def _rounded(self, score: np.ndarray) -> np.ndarray:
         return rounded(score, self.digits)
 
-    def _merge(self, block: slice, row, cost, item) -> None:
-        held_row, held_col = np.nonzero(np.isfinite(self.cost[block]))
-        row = np.concatenate([held_row, row])
-        cost = np.concatenate([self.cost[block][held_row, held_col], cost])
-        item = np.concatenate([self.item[block][held_row, held_col], item])
-        order = np.lexsort((item, cost, row))
-        row = row[order]
-        place = np.arange(len(row)) - np.searchsorted(row, row)
-        first = place < self.k
-        row, place, order = row[first], place[first], order[first]
-        self.cost[block][row, place] = cost[order]
-        self.item[block][row, place] = item[order]
+    def _merge(self, row, cost, item) -> None:
+        touched, row = np.unique(row, return_inverse=True)
+        held_cost, held_item = self.cost[touched], self.item[touched]
+        held = np.isfinite(held_cost)
+        row = np.concatenate([np.nonzero(held)[0], row])
+        cost = np.concatenate([held_cost[held], cost])
+        item = np.concatenate([held_item[held], item])
+        row, place, order = first_of(row, cost, item, self.k)
+        self.cost[touched[row], place] = cost[order]
+        self.item[touched[row], place] = item[order]
 
     def results(self) -> Iterator[pa.RecordBatch]:
         """:meth:`result` in parts."""
@@ -284,6 +366,25 @@ class TopK:
         )
 
 
+def first_of(row: np.ndarray, cost: np.ndarray, item: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k first of each row by (cost, item): their rows, places from 0, and where they are."""
+    order = np.lexsort((item, cost, row))
+    row = row[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    first = place < k
+    return row[first], place[first], order[first]
+
+
+def kind_for(*lengths: float) -> type:
+    """32 bits, if squares of such lengths stay within them."""
+    return np.float32 if all(length < 1e15 for length in lengths) else np.float64
+
+
+def unit_of(dim: int, kind: type) -> float:
+    """Bound on the rounding of a product of ``dim`` dimensions, relative to its lengths."""
+    return (dim + 16) * float(np.finfo(kind).eps)
+
+
 def rounded(score: np.ndarray, digits: int) -> np.ndarray:
     """Half up, with halves that fell short by rounding error counted as halves."""
     scale = 10.0**digits

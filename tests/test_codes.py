@@ -129,3 +129,23 @@ def test_ranking_every_item_is_exact(spark, metric):
     for room in (1 << 26, 16_000):
         got = rows_of(codes.knn_codes(asked, held, items, book, rerank=200, broadcast_bytes=room))
         assert got == brute_force(range(40), x[:40], range(200), x, 5, metric)
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_items_that_codes_cannot_bar_are_screened_by_their_vectors(monkeypatch, metric):
+    """Codes that tell nothing apart name every item; a product in double of each is not needed."""
+    rng = np.random.default_rng(8)
+    x, q = rng.normal(size=(3000, 6)).astype(np.float32), rng.normal(size=(40, 6)).astype(np.float32)
+    book = codes.CodeBook(lists.Centroids(np.zeros((1, 6), np.float32), metric), np.zeros((2, 1, 3)))
+    list_ids, ids = np.zeros(len(x), np.int64), rng.permutation(len(x))
+    placed = x / np.linalg.norm(x, axis=1, keepdims=True) if metric == "cosine" else x
+    coded, error = book.codes(placed.astype(np.float64)), np.linalg.norm(placed.astype(np.float64), axis=1)
+    ranked = []
+    whole = codes.TopK._rescore
+    monkeypatch.setattr(codes.TopK, "_best_of_crowd", None)
+    monkeypatch.setattr(codes.TopK, "_rescore", lambda self, row, *a: ranked.append(len(row)) or whole(self, row, *a))
+    best = codes._Bounded(np.arange(len(q)), q, None, book, 5, 6)
+    for part in np.split(np.arange(len(x)), [1200]):
+        best.add_coded(ids[part], x[part], list_ids[part], coded[part], error[part])
+    got = {tuple(r.values()) for r in best.result().to_pylist()}
+    assert got == brute_force(range(len(q)), q, ids, x, 5, metric) and sum(ranked) < len(q) * len(x) / 50
