@@ -113,3 +113,12 @@ def test_copies_are_told_without_wide_copies_of_all():
     tracemalloc.stop()
     assert np.array_equal(labels, np.tile(np.arange(30_000), 2))
     assert most < 3 * x.nbytes
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_products_are_made_strip_by_strip(monkeypatch, metric):
+    monkeypatch.setattr(blocks, "STRIP", 7)
+    rng = np.random.default_rng(13)
+    q, x = rng.normal(size=(30, 5)), rng.normal(size=(200, 5))
+    x[20:90], q[4] = x[3], 0
+    assert search(range(30), q, range(200), x, 4, metric, [60]) == brute_force(range(30), q, range(200), x, 4, metric)

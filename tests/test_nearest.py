@@ -147,3 +147,12 @@ def test_no_lists_are_fitted_for_a_few_blocks(spark, monkeypatch):
     assert rows_of(knn_exact(queries, items, 4, broadcast_bytes=1000)) == brute_force(range(40), x, range(40), x, 4)
     with pytest.raises(TypeError):
         knn_exact(queries, items, 4, broadcast_bytes=100)
+
+
+def test_no_lists_are_fitted_for_blocks_of_a_large_batch(spark, monkeypatch):
+    """Requests of 6 GB take twenty blocks: lists that do not prune would copy each side for each block of the other."""
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(40, 6))
+    queries, items = frame(spark, "query_id", range(40), x), frame(spark, "item_id", range(40), x)
+    monkeypatch.setattr(lists, "knn_pruned", None)
+    assert rows_of(knn_exact(queries, items, 4, broadcast_bytes=192)) == brute_force(range(40), x, range(40), x, 4)
